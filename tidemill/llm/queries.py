@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.capping import cap_contributors, shortcode
+from tidemill.llm.languages import fit, language_segments
+from tidemill.llm.leakage import leaking_documents, leaks
+from tidemill.llm.packing import fill, token_counts
 from tidemill.llm.term_counts import term_counts
 from tidemill.llm.top_n import top_n
 from tidemill.llm.uniform_text import look_alike_pairs, uniform_text
@@ -95,3 +98,41 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
     themes = table(spark, root, "themes")
     candidates = themes.select(F.col("id").alias("theme_id"), F.explode("representative_quotes").alias("q")).select("theme_id", "q.quote_id", "q.likes")
     return top_n(candidates, "theme_id", "quote_id", "likes", 6).select("theme_id", "quote_id")
+
+
+@query()
+def p7_fill(spark: SparkSession, root: str) -> DataFrame:
+    """Every document's place in containers of every capacity."""
+    sized = token_counts(table(spark, root, "documents").select("doc_id", "text")).select("doc_id", "tokens")
+    return fill(sized, table(spark, root, "containers"), "doc_id", "tokens", "container_kind", "capacity_tokens")
+
+
+@query()
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    """Documents with the evaluation items they leak."""
+    return leaking_documents(table(spark, root, "documents"), table(spark, root, "eval_items"), "doc_id", "item_id")
+
+
+@query()
+def p8_leaks(spark: SparkSession, root: str) -> DataFrame:
+    """Documents with the evaluation items they leak, and how much of each."""
+    return leaks(table(spark, root, "documents"), table(spark, root, "eval_items"), "doc_id", "item_id")
+
+
+def _segments(spark: SparkSession, root: str) -> DataFrame:
+    quotes = table(spark, root, "quotes").select("quote_id", "text", "lang")
+    profiles = fit(table(spark, root, "lang_samples").select("text", "lang"), quotes)
+    return language_segments(quotes, profiles, "quote_id", carry=("lang",))
+
+
+@query()
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    """Segments of the quotes that mix languages or whose label is missing or wrong."""
+    wrong = (F.col("segments") > 1) | ~F.col("lang").eqNullSafe(F.col("lang_found"))
+    return _segments(spark, root).where(wrong).select("quote_id", "seg_no", F.col("lang_found").alias("lang"))
+
+
+@query()
+def p4_segments(spark: SparkSession, root: str) -> DataFrame:
+    """Every language segment of every quote with its confidence."""
+    return _segments(spark, root).select("quote_id", "seg_no", "segments", F.col("lang_found").alias("lang"), "confidence")

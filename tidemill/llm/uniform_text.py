@@ -164,7 +164,7 @@ def skeleton(text: str | None) -> str | None:
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 _CYRILLIC = regex.compile(r"\p{Cyrillic}")
-_BACK = {v: k for k, v in reversed(LOOK_ALIKES.items()) if unicodedata.name(k).startswith("CYRILLIC")}
+_BACK = {LOOK_ALIKES[k]: k for k in "асеорхуАВСЕНКМОРТХУ"}  # those of the Russian alphabet
 _BACK_TABLE = str.maketrans(_BACK)
 
 
