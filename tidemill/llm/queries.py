@@ -11,6 +11,7 @@ from tidemill.llm.capping import cap_contributors, shortcode
 from tidemill.llm.languages import fit, language_segments
 from tidemill.llm.leakage import leaking_documents, leaks
 from tidemill.llm.packing import fill, token_counts
+from tidemill.llm.personal_information import find_personal, sanitise
 from tidemill.llm.term_counts import term_counts
 from tidemill.llm.top_n import top_n
 from tidemill.llm.uniform_text import look_alike_pairs, uniform_text
@@ -136,3 +137,20 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
 def p4_segments(spark: SparkSession, root: str) -> DataFrame:
     """Every language segment of every quote with its confidence."""
     return _segments(spark, root).select("quote_id", "seg_no", "segments", F.col("lang_found").alias("lang"), "confidence")
+
+
+def _personal(spark: SparkSession, root: str) -> DataFrame:
+    return find_personal(table(spark, root, "quotes").select("quote_id", "text"), table(spark, root, "given_names"), "quote_id")
+
+
+@query()
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    """Every piece of personal information in the quotes."""
+    return _personal(spark, root).select("quote_id", "kind", "start_at")
+
+
+@query()
+def p5_sanitised(spark: SparkSession, root: str) -> DataFrame:
+    """The quotes with personal information replaced by placeholders."""
+    quotes = table(spark, root, "quotes").select("quote_id", "text")
+    return sanitise(quotes, _personal(spark, root), "quote_id").select("quote_id", "clean_text")
