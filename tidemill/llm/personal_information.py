@@ -74,7 +74,7 @@ def aligned(text: str) -> tuple[str, list[int] | None]:
 _MAIL = regex.compile(
     r"""(?xi) (?<![\w@.+-])
     (?: [a-z0-9] [\w.+-]* (?: @ | \s@\s ) [a-z0-9-]+ (?:\.[a-z0-9-]+)* \. [a-z]{2,}
-      | [a-z0-9] [\w.+-]* (?:\ dot\ [\w+-]+)* \s? (?: [(\[{<] \s? at \s? [)\]}>] \s? | @ ) [a-z0-9-]+ (?: (?: \ dot\  | \s? [(\[{<] \s? dot \s? [)\]}>] \s? | \. ) [a-z0-9-]+ )+
+      | [a-z0-9] [\w.+-]* (?:\ dot\ [\w+-]+)* (?: \s? [(\[{<] \s? at \s? [)\]}>] \s? | @ ) [a-z0-9-]+ (?: (?: \ dot\  | \s? [(\[{<] \s? dot \s? [)\]}>] \s? | \. ) [a-z0-9-]+ )+
       | [a-z0-9] [\w.+-]* (?:\ dot\ [\w+-]+)* \ at\  [a-z0-9-]+ (?: \ dot\  [a-z0-9-]+ )+
     ) (?![\w@])"""
 )
