@@ -12,6 +12,8 @@ from tidemill.llm.languages import fit, language_segments
 from tidemill.llm.leakage import leaking_documents, leaks
 from tidemill.llm.packing import fill, token_counts
 from tidemill.llm.personal_information import find_personal, sanitise
+from tidemill.llm.subjects import SHARE, subject_shares
+from tidemill.llm.subjects import fit as fit_subjects
 from tidemill.llm.term_counts import term_counts
 from tidemill.llm.top_n import top_n
 from tidemill.llm.uniform_text import look_alike_pairs, uniform_text
@@ -154,3 +156,23 @@ def p5_sanitised(spark: SparkSession, root: str) -> DataFrame:
     """The quotes with personal information replaced by placeholders."""
     quotes = table(spark, root, "quotes").select("quote_id", "text")
     return sanitise(quotes, _personal(spark, root), "quote_id").select("quote_id", "clean_text")
+
+
+def _subject_shares(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    names = sorted(r.subject for r in table(spark, root, "subject_areas").select("subject").dropna().distinct().limit(1000).collect())
+    model = fit_subjects(table(spark, root, "subject_samples"), docs, names)
+    return subject_shares(docs, model, "doc_id")
+
+
+@query()
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    """Documents with the subjects that at least one in six of their sentences concerns."""
+    return _subject_shares(spark, root).where(F.col("share") >= SHARE).select("doc_id", "subject")
+
+
+@query()
+def p9_composition(spark: SparkSession, root: str) -> DataFrame:
+    """Documents by subject, one document counting for each of its subjects."""
+    about = _subject_shares(spark, root).where(F.col("share") >= SHARE)
+    return about.groupBy("subject").agg(F.count("*").alias("documents"), F.round(F.avg("share"), 4).alias("mean_share"))
