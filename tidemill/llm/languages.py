@@ -9,7 +9,8 @@ task and remembered, and segments are the best path over the words of a text: it
 language within a clause and less between clauses.
 
 Profiles are fitted in two steps: on labelled samples (at most MAX_SAMPLES rows), then on the n-grams of
-all clauses of the collection that the first profiles are sure of, counted over all its rows.
+the clauses that the profiles are sure of in at most REFINE_ROWS labelled rows of the collection. Every
+row is then segmented.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from tidemill.session import cut
 
 DIMENSIONS = 8192
 MAX_SAMPLES = 20_000
+#: Profiles are refined on at most so many labelled rows of the collection, taken by a hash of their text.
+REFINE_ROWS = 50_000
 #: Nats of log-odds that a unit of similarity is worth, and the costs of changing language.
 SHARPNESS = 15.0
 CHANGE_BETWEEN, CHANGE_WITHIN = 5.0, 9.0
@@ -272,7 +275,7 @@ def _sample_words(rows: list[tuple[str, str]]) -> Counter:
 
 
 def fit(samples: DataFrame, corpus: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, rounds: int = 3) -> Profiles:
-    """Profiles of the samples' languages, refined on the whole corpus (rounds - 1 times).
+    """Profiles of the samples' languages, refined rounds - 1 times on labelled rows of the corpus (at most REFINE_ROWS).
 
     Both tables have the columns text and lang; the corpus's may be null, missing or wrong.
     """
@@ -283,6 +286,8 @@ def fit(samples: DataFrame, corpus: DataFrame, text: str = "text", lang: str = "
     names = tuple(p.names)
     spark = samples.sparkSession
     own = spark.createDataFrame([(*k, n) for k, n in gram_counts(_sample_words(rows)).items()], "lang string, gram string, n bigint")
+    labelled = corpus.select(F.col(text).alias("text"), F.col(lang).alias("label")).where(F.col("label").isin(*names) & F.col("text").isNotNull())
+    labelled = cut(labelled.orderBy(F.xxhash64("text"), "text").limit(REFINE_ROWS).repartition(labelled.sparkSession.sparkContext.defaultParallelism)) if rounds > 1 else labelled
     for _ in range(rounds - 1):
         before = spark.sparkContext.broadcast(p)  # languages x dimensions numbers
 
@@ -295,7 +300,7 @@ def fit(samples: DataFrame, corpus: DataFrame, text: str = "text", lang: str = "
                     total.clear()
             yield _rows(gram_counts(total))
 
-        counted = corpus.select(F.col(text).alias("text"), F.col(lang).alias("label")).where("text IS NOT NULL").mapInPandas(count, "lang string, gram string, n bigint")
+        counted = labelled.mapInPandas(count, "lang string, gram string, n bigint")
         each = counted.unionByName(own).groupBy("gram").agg(*[F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)).alias(f"n{i}") for i, name in enumerate(names)])
         each = cut(each.where(" + ".join(f"n{i}" for i in range(len(names))) + " > 1"))
         sizes = np.array([x or 0 for x in each.agg(*[F.sum(f"n{i}") for i in range(len(names))]).first()], float)
