@@ -30,9 +30,9 @@ from tidemill.llm.uniform_text import uniform
 from tidemill.session import cut
 
 BUCKETS, DIMENSIONS = 1 << 15, 16
-TRAIN_SENTENCES = 12_000
+TRAIN_SENTENCES = 20_000
 MAX_SAMPLES = 20_000
-STEPS, RATE = 30, 0.1
+STEPS, RATE = 40, 0.1
 PARTITIONS = 8
 SURE = 0.7
 SHARE = 1 / 6
