@@ -1 +1,161 @@
-"""To come."""
+"""Posts on a timeline: events near them, baselines around them and links between."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemill.functions import text as T
+from tidemill.operators.intervals import days_between, nearest, within_days
+from tidemill.operators.linking import confidence, link_score
+from tidemill.plans.base import COMMENTS, posts
+from tidemill.plans.catalog import query
+from tidemill.plans.scores import FORMATTED, formats
+from tidemill.sources.tables import table
+
+#: Example event seeds: id, seconds since 1970, terms, tag, salience. A deployment gives its own.
+SEEDS = [
+    ("spring_show", 1714557600, ["golden", "picture"], "walkies", 0.9),
+    ("summer_heat", 1722470400, ["heat", "summer"], "zoomies", 0.6),
+    ("autumn_move", 1729036800, ["autumn", "move"], "couchking", 0.8),
+    ("winter_walk", 1736899200, ["winter", "walk"], "seniorpup", 0.7),
+    ("rescue_week", 1748736000, ["rescue", "photos"], "rescuedog", 0.95),
+]
+_SEED_SQL = "s(event_id, event_s, terms, tag, salience) AS (VALUES " + ", ".join(f"('{i}', CAST({t} AS BIGINT), '{T.bounded(w)}', '{g}', {x})" for i, t, w, g, x in SEEDS) + ")"
+
+
+def seeds(spark):
+    rows = [(i, t, T.bounded(w), g, x) for i, t, w, g, x in SEEDS]
+    return spark.createDataFrame(rows, "event_id string, event_s bigint, terms string, tag string, salience double")
+
+
+def dated(spark, root):
+    return posts(spark, root).where("posted_at IS NOT NULL").withColumn("posted_s", F.unix_seconds("posted_at"))
+
+
+_DATED = COMMENTS + ", d AS (SELECT * FROM p WHERE posted_s IS NOT NULL), " + _SEED_SQL
+
+
+@query(_DATED + " SELECT event_id, w AS days, count(d.post) AS posts FROM s CROSS JOIN (SELECT unnest([1, 3, 7]) AS w) LEFT JOIN d ON abs(posted_s - event_s) <= w * 86400 GROUP BY ALL")
+def event_window_candidates(spark, root):
+    """Posts within one, three and seven days of each event; windows without posts are kept."""
+    near = within_days(dated(spark, root).select("post", "posted_s"), seeds(spark).select("event_id", "event_s"), "posted_s", "event_s", 7)
+    gap = F.abs(F.col("posted_s") - F.col("event_s"))
+    w = near.select("event_id", F.explode(F.filter(F.array(F.lit(1), F.lit(3), F.lit(7)), lambda x: gap <= x * 86400)).alias("days")).groupBy("event_id", "days").agg(F.count("*").alias("posts"))
+    windows = seeds(spark).select("event_id", F.explode(F.array(F.lit(1), F.lit(3), F.lit(7))).alias("days"))
+    return windows.join(w, ["event_id", "days"], "left").na.fill(0, ["posts"])
+
+
+@query(_DATED + ", n AS (SELECT post, event_id, abs(posted_s - event_s) AS gap_s, row_number() OVER (PARTITION BY post ORDER BY abs(posted_s - event_s), event_id) AS rn FROM d JOIN s ON abs(posted_s - event_s) <= 30 * 86400) SELECT post, event_id, gap_s FROM n WHERE rn = 1")
+def nearest_event_asof(spark, root):
+    """The event nearest to each post within thirty days."""
+    return nearest(dated(spark, root), seeds(spark), "post", "posted_s", "event_s", "event_id", 30)
+
+
+_BASELINE = """
+    , g AS (SELECT d.post, d.posted_s, d.like_count, d.captured_comments, f.format FROM d JOIN f ON d.post = f.post),
+    same AS (SELECT a.post, count(*) AS n, avg(b.captured_comments) AS captured, avg(b.like_count) AS likes FROM g a JOIN g b ON a.format = b.format AND a.post <> b.post AND abs(a.posted_s - b.posted_s) <= 45 * 86400 GROUP BY a.post),
+    anyp AS (SELECT a.post, count(*) AS n, avg(b.captured_comments) AS captured, avg(b.like_count) AS likes FROM g a JOIN g b ON a.post <> b.post AND abs(a.posted_s - b.posted_s) <= 21 * 86400 GROUP BY a.post),
+    b AS (SELECT g.post, CASE WHEN coalesce(same.n, 0) >= 3 THEN 'same_format' ELSE 'nearby' END AS basis, coalesce(CASE WHEN same.n >= 3 THEN same.n ELSE anyp.n END, 0) AS posts,
+        round(coalesce(CASE WHEN same.n >= 3 THEN same.captured ELSE anyp.captured END, 0), 2) AS captured, round(coalesce(CASE WHEN same.n >= 3 THEN same.likes ELSE anyp.likes END, 0), 2) AS likes
+        FROM g LEFT JOIN same ON g.post = same.post LEFT JOIN anyp ON g.post = anyp.post)
+"""
+
+
+def baselines(spark, root):
+    """Each post's baseline: posts of its format within 45 days if there are three, else any within 21.
+
+    The window's posts are summed by range frames over seconds, and the post's own share taken off.
+    """
+    from pyspark.sql import Window
+
+    g = dated(spark, root).join(formats(spark, root).select("post", "format"), "post").select("post", "posted_s", "like_count", "captured_comments", "format")
+
+    def around(keys, days):
+        # posts of one second are summed first, so a partition holds at most 3 * days * 86,400 rows;
+        # each second is copied to the buckets its window reaches, and looked up in its own
+        size = days * 86400
+        at = g.groupBy(*keys, "posted_s").agg(F.count("*").alias("n"), *[f(c).alias(f"{k}_{c}") for c in ("captured_comments", "like_count") for k, f in (("k", F.count), ("s", F.sum))])
+        b = F.floor(F.col("posted_s") / size)
+        spread = at.withColumn("__b", F.explode(F.array(b - 1, b, b + 1))).withColumn("__own", F.col("__b") == b)
+        w = Window.partitionBy(*keys, "__b").orderBy("posted_s").rangeBetween(-size, size)
+        seconds = spread.select(*keys, "posted_s", "__own", *[F.sum(c).over(w).alias(c) for c in at.columns if c not in (*keys, "posted_s")]).where("__own").drop("__own")
+        j = g.join(seconds, [*keys, "posted_s"])
+        mean = lambda c: (F.coalesce(F.col(f"s_{c}"), F.lit(0)) - F.coalesce(F.col(c), F.lit(0))) / F.nullif(F.col(f"k_{c}") - F.col(c).isNotNull().cast("int"), F.lit(0))
+        return j.select("post", (F.col("n") - 1).alias("n"), mean("captured_comments").alias("captured"), mean("like_count").alias("likes"))
+
+    same = around(["format"], 45).select("post", F.col("n").alias("sn"), F.col("captured").alias("sc"), F.col("likes").alias("sl"))
+    near = around([], 21).select("post", F.col("n").alias("an"), F.col("captured").alias("ac"), F.col("likes").alias("al"))
+    j = g.join(same, "post").join(near, "post")
+    enough = F.col("sn") >= 3
+    pick = lambda a, b: F.round(F.coalesce(F.when(enough, F.col(a)).otherwise(F.col(b)), F.lit(0.0)), 2)
+    return j.select("post", F.when(enough, "same_format").otherwise("nearby").alias("basis"), F.when(enough, F.col("sn")).otherwise(F.col("an")).alias("posts"), pick("sc", "ac").alias("captured"), pick("sl", "al").alias("likes"))
+
+
+@query(_DATED + FORMATTED + _BASELINE + " SELECT * FROM b")
+def baseline_same_cluster_or_nearby(spark, root):
+    """What is usual around each post: its format's posts nearby in time, else any posts nearby."""
+    return baselines(spark, root)
+
+
+@query(_DATED + FORMATTED + _BASELINE + " SELECT b.post, round(d.captured_comments - b.captured, 2) AS captured_delta, round(d.like_count - b.likes, 2) AS likes_delta, CASE WHEN b.likes > 0 THEN round(d.like_count / b.likes, 4) END AS likes_ratio FROM b JOIN d ON b.post = d.post")
+def baseline_deltas(spark, root):
+    """How far each post is from its baseline."""
+    d = dated(spark, root).select("post", "captured_comments", "like_count")
+    j = baselines(spark, root).join(d, "post")
+    return j.select("post", F.round(F.col("captured_comments") - F.col("captured"), 2).alias("captured_delta"), F.round(F.col("like_count") - F.col("likes"), 2).alias("likes_delta"), F.when(F.col("likes") > 0, F.round(F.col("like_count") / F.col("likes"), 4)).alias("likes_ratio"))
+
+
+_LINKS = (
+    _DATED
+    + FORMATTED
+    + _BASELINE
+    + """
+    , x AS (SELECT d.post, s.event_id, abs(posted_s - event_s) / 86400.0 AS days, CASE WHEN regexp_matches(lower(coalesce(title, '')), terms) THEN 1 ELSE 0 END AS captions,
+        CASE WHEN contains(lower(coalesce(title, '')), '#' || tag) THEN 1 ELSE 0 END AS tags, CASE WHEN b.captured > 0 THEN d.captured_comments / b.captured ELSE 0 END AS cr, CASE WHEN b.likes > 0 THEN d.like_count / b.likes ELSE 0 END AS lr, salience
+        FROM d JOIN s ON abs(posted_s - event_s) <= 7 * 86400 JOIN b ON d.post = b.post),
+    y AS (SELECT *, CASE WHEN days <= 1 THEN 25 WHEN days <= 3 THEN 18 ELSE 10 END + 8 * captions + 10 * tags + CASE WHEN cr >= 1.5 THEN 5 ELSE 0 END + CASE WHEN lr >= 1.5 THEN 5 ELSE 0 END + CASE WHEN salience >= 0.75 THEN 6 ELSE 0 END AS score FROM x),
+    l AS (SELECT post, event_id, round(days, 4) AS days, least(score, 100) AS score, CASE WHEN captions + tags = 0 THEN 'temporal_only' WHEN score >= 65 THEN 'strong' WHEN score >= 42 THEN 'moderate' WHEN score >= 25 THEN 'weak' ELSE 'temporal_only' END AS confidence,
+        list_filter([CASE WHEN days <= 7 THEN 'temporal_proximity' END, CASE WHEN captions > 0 THEN 'caption_term' END, CASE WHEN tags > 0 THEN 'hashtag' END, CASE WHEN salience >= 0.75 THEN 'salience' END], z -> z IS NOT NULL) AS reasons FROM y)
+    """
+).replace("z -> z IS NOT NULL", "lambda z: z IS NOT NULL")
+
+
+def links(spark, root):
+    d = dated(spark, root)
+    near = within_days(d.select("post", "posted_s", "title", "captured_comments", "like_count"), seeds(spark), "posted_s", "event_s", 7).join(baselines(spark, root), "post")
+    low = F.lower(F.coalesce("title", F.lit("")))
+    x = near.select(
+        "post", "event_id", days_between(F.col("posted_s"), F.col("event_s")).alias("days"), F.regexp_like(low, F.col("terms")).cast("int").alias("captions"), F.contains(low, F.concat(F.lit("#"), "tag")).cast("int").alias("tags"),
+        F.when(F.col("captured") > 0, F.col("captured_comments") / F.col("captured")).otherwise(0.0).alias("cr"), F.when(F.col("likes") > 0, F.col("like_count") / F.col("likes")).otherwise(0.0).alias("lr"), "salience",
+    )
+    none = F.lit(0)
+    y = x.withColumn("score", link_score(F.col("days"), none, F.col("captions"), none, F.col("tags"), F.col("cr"), F.col("lr"), F.col("salience"))).where("score > 0")
+    evidence = (F.col("captions") + F.col("tags")) > 0
+    reasons = F.array_compact(F.array(F.when(F.col("days") <= 7, "temporal_proximity"), F.when(F.col("captions") > 0, "caption_term"), F.when(F.col("tags") > 0, "hashtag"), F.when(F.col("salience") >= 0.75, "salience")))
+    return y.select("post", "event_id", F.round("days", 4).alias("days"), F.least("score", F.lit(100)).alias("score"), confidence(F.col("score"), evidence).alias("confidence"), reasons.alias("reasons"))
+
+
+@query(_LINKS + " SELECT * FROM l")
+def post_event_links(spark, root):
+    """Posts linked with events within a week, with score, confidence and reasons."""
+    return links(spark, root)
+
+
+@query(_LINKS + " SELECT event_id, count(*) AS posts, count(*) FILTER (confidence <> 'temporal_only') AS with_evidence, max(score) AS best_score, round(avg(score), 2) AS mean_score FROM l GROUP BY event_id")
+def event_rollup(spark, root):
+    """What each event's links amount to."""
+    return links(spark, root).groupBy("event_id").agg(F.count("*").alias("posts"), F.count_if(F.col("confidence") != "temporal_only").alias("with_evidence"), F.max("score").alias("best_score"), F.round(F.avg("score"), 2).alias("mean_score"))
+
+
+@query(_LINKS + ", r AS (SELECT event_id, unnest(reasons) AS reason FROM l) SELECT event_id, reason, count(*) AS n FROM r GROUP BY ALL")
+def event_reason_codes(spark, root):
+    """How often each reason links posts with each event."""
+    return links(spark, root).select("event_id", F.explode("reasons").alias("reason")).groupBy("event_id", "reason").agg(F.count("*").alias("n"))
+
+
+@query("SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) AS hour, event_type, count(*) AS n, round(sum(value), 2) AS value FROM events GROUP BY ALL")
+def tumbling_event_counts(spark, root):
+    """Events by hour and type (an extension: tumbling windows)."""
+    e = table(spark, root, "events")
+    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
+    return e.groupBy(hour.alias("hour"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("value"))
