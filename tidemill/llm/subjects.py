@@ -107,10 +107,11 @@ class Model:
         return p
 
 
-def _gradient(names: int, vectors, weights, bias):
+def _gradient(sent):
     """Sums of gradients over a partition's rows of (buckets, targets), as one packed row."""
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vectors, weights, bias = sent.value
         gv, gw, gb, n, loss = np.zeros_like(vectors), np.zeros_like(weights), np.zeros_like(bias), 0, 0.0
         for b in batches:
             if not len(b):
@@ -142,8 +143,9 @@ def train(rows: DataFrame, model: Model, steps: int = STEPS, rate: float = RATE)
     params = [model.vectors.copy(), model.weights.copy(), model.bias.copy()]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for t in range(1, steps + 1):
-        f = _gradient(len(model.names), *params)
-        parts = rows.mapInPandas(f, "used binary, gv binary, gw binary, gb binary, n bigint, loss double").collect()  # one row a partition
+        sent = rows.sparkSession.sparkContext.broadcast(tuple(params))
+        parts = rows.mapInPandas(_gradient(sent), "used binary, gv binary, gw binary, gb binary, n bigint, loss double").collect()  # one row a partition
+        sent.destroy()  # else every step's parameters would stay on the executors' disks
         grads, n = [np.zeros_like(p) for p in params], sum(r.n for r in parts)
         if not n:
             raise ValueError("nothing to train on")
