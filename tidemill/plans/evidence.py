@@ -1 +1,119 @@
-"""To come."""
+"""Signals, themes and quotes: pointers that must resolve, claims, bands and evidence."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemill.operators.diverse import select_diverse
+from tidemill.operators.keyed import first_claims
+from tidemill.operators.providers import RuleProvider, extract_signals, numbered_batches, reduce_signals, resolve_pointers
+from tidemill.operators.ranking import top_k
+from tidemill.plans.base import COMMENTS, comments, posts
+from tidemill.plans.catalog import query
+from tidemill.plans.scores import SCORED, scored
+from tidemill.sources.tables import table
+
+
+@query(COMMENTS + " SELECT q.quote_id, q.comment_id, c.post, c.likes AS comment_likes, q.text = c.text AS verbatim FROM quotes q JOIN c ON q.comment_id = c.comment_id")
+def pointer_join_signals(spark, root):
+    """Quotes joined to the comments they point at; those that point nowhere are dropped."""
+    q = table(spark, root, "quotes").select("quote_id", "comment_id", F.col("text").alias("said"))
+    c = comments(spark, root)
+    return q.join(c, "comment_id").select("quote_id", "comment_id", "post", F.col("likes").alias("comment_likes"), (F.col("said") == F.col("text")).alias("verbatim"))
+
+
+@query(COMMENTS + " SELECT count(*) AS quotes, count(*) FILTER (comment_id IS NULL) AS without_pointer FROM quotes q WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.comment_id = q.comment_id)")
+def orphan_quotes(spark, root):
+    """Quotes whose comment is unknown."""
+    o = table(spark, root, "quotes").join(comments(spark, root).select("comment_id"), "comment_id", "left_anti")
+    return o.agg(F.count("*").alias("quotes"), F.count_if(F.col("comment_id").isNull()).alias("without_pointer"))
+
+
+_CLAIMS = "WITH e AS (SELECT DISTINCT id AS theme_id, theme_row_id, unnest(representative_quotes).quote_id AS quote_id FROM themes WHERE id IS NOT NULL), k AS (SELECT *, row_number() OVER (PARTITION BY quote_id ORDER BY theme_row_id, theme_id) AS rn FROM e WHERE quote_id IS NOT NULL)"
+
+
+def _claims(spark, root):
+    e = table(spark, root, "themes").where("id IS NOT NULL").select(F.col("id").alias("theme_id"), "theme_row_id", F.explode("representative_quotes.quote_id").alias("quote_id"))
+    return e.where("quote_id IS NOT NULL").distinct()
+
+
+@query(_CLAIMS + " SELECT quote_id, theme_id, theme_row_id FROM k WHERE rn = 1")
+def first_claim_wins_merge(spark, root):
+    """Each quote goes to the theme row that claimed it first."""
+    return first_claims(_claims(spark, root), "quote_id", ["theme_row_id", "theme_id"]).select("quote_id", "theme_id", "theme_row_id")
+
+
+@query(_CLAIMS + ", s AS (SELECT theme_id, count(DISTINCT quote_id) AS n FROM e WHERE quote_id IS NOT NULL GROUP BY theme_id) SELECT theme_id, n AS quotes, CASE WHEN n >= 80 THEN 'high' WHEN n >= 25 THEN 'medium' ELSE 'low' END AS strength FROM s")
+def theme_strength_bands(spark, root):
+    """Themes by the number of their quotes, over all their rows."""
+    s = _claims(spark, root).groupBy("theme_id").agg(F.count_distinct("quote_id").alias("quotes"))
+    return s.withColumn("strength", F.when(F.col("quotes") >= 80, "high").when(F.col("quotes") >= 25, "medium").otherwise("low"))
+
+
+@query(
+    _CLAIMS
+    + """, s AS (SELECT theme_id, count(DISTINCT quote_id) AS n FROM e WHERE quote_id IS NOT NULL GROUP BY theme_id),
+    a AS (SELECT 'top' AS side, theme_id, n AS quotes, row_number() OVER (ORDER BY n DESC, theme_id) AS rank FROM s UNION ALL SELECT 'bottom', theme_id, n, row_number() OVER (ORDER BY n, theme_id) FROM s)
+    SELECT * FROM a WHERE rank <= 10"""
+)
+def theme_top_bottom(spark, root):
+    """The ten largest and the ten smallest themes (a report)."""
+    s = theme_strength_bands(spark, root).select("theme_id", "quotes")
+    top = top_k(s.orderBy(F.desc("quotes"), "theme_id").limit(10).withColumn("side", F.lit("top")), ["side"], [F.desc("quotes"), F.asc("theme_id")], 10)
+    low = top_k(s.orderBy("quotes", "theme_id").limit(10).withColumn("side", F.lit("bottom")), ["side"], [F.asc("quotes"), F.asc("theme_id")], 10)
+    return top.unionByName(low).select("side", "theme_id", "quotes", "rank")
+
+
+@query(
+    """
+    WITH t AS (SELECT theme_row_id, id, lower(trim(regexp_replace(label, '[\\s]+', ' ', 'g'))) AS label FROM themes WHERE id IS NOT NULL AND label IS NOT NULL)
+    SELECT id AS theme_id, count(DISTINCT label) AS labels, count(*) AS theme_rows, arg_min(label, theme_row_id) AS first_label FROM t GROUP BY id
+    """
+)
+def theme_label_merge(spark, root):
+    """Labels of one theme in one spelling, the first row's leading."""
+    t = table(spark, root, "themes").where("id IS NOT NULL AND label IS NOT NULL")
+    label = F.lower(F.trim(F.regexp_replace("label", r"[\s]+", " ")))
+    return t.groupBy(F.col("id").alias("theme_id")).agg(F.count_distinct(label).alias("labels"), F.count("*").alias("theme_rows"), F.min_by(label, "theme_row_id").alias("first_label"))
+
+
+@query("SELECT trigger, count(DISTINCT id) AS themes FROM (SELECT id, unnest(emotional_triggers) AS trigger FROM themes) GROUP BY trigger")
+def trigger_rollup(spark, root):
+    """Themes by emotional trigger."""
+    t = table(spark, root, "themes").select("id", F.explode("emotional_triggers").alias("trigger"))
+    return t.groupBy("trigger").agg(F.count_distinct("id").alias("themes"))
+
+
+@query(
+    SCORED
+    + """
+    , d AS (SELECT min(comment_id) AS comment_id, text, count(*) AS copies FROM h WHERE NOT generic GROUP BY text)
+    SELECT h.comment_id, d.comment_id AS encoded_as, d.copies FROM h JOIN d ON h.text = d.text WHERE NOT generic
+    """
+)
+def dedupe_encode_join(spark, root):
+    """Distinct texts are encoded once and joined back to all comments that say them."""
+    h = scored(spark, root).where("NOT generic").select("comment_id", "text")
+    d = h.groupBy("text").agg(F.min("comment_id").alias("encoded_as"), F.count("*").alias("copies"))
+    return h.join(d, "text").select("comment_id", "encoded_as", "copies")
+
+
+@query()
+def diverse_evidence(spark, root):
+    """Eight telling comments of each topic, from different posts and authors while there are any."""
+    e = scored(spark, root).where("NOT generic AND author IS NOT NULL").select(F.explode("topics").alias("topic"), "comment_id", "post", "author", "score")
+    return select_diverse(e, "topic", "comment_id", "post", "author", "score", 8)
+
+
+@query(COMMENTS + " SELECT count(*) AS comments, count(DISTINCT post) AS posts FROM c WHERE EXISTS (SELECT 1 FROM p WHERE p.post = c.post AND p.title IS NOT NULL)")
+def comments_on_titled_posts(spark, root):
+    """Comments on posts with a caption (semi-join)."""
+    return comments(spark, root).join(posts(spark, root).where("title IS NOT NULL").select("post"), "post", "left_semi").agg(F.count("*").alias("comments"), F.count_distinct("post").alias("posts"))
+
+
+@query()
+def map_reduce_signals(spark, root):
+    """Problems and wants by provider over batches, pointers resolved, reduced in two levels."""
+    c = scored(spark, root).where("high").select("comment_id", "post", "likes", "text")
+    b = numbered_batches(c, [F.desc("likes"), F.asc("comment_id")])
+    return reduce_signals(resolve_pointers(extract_signals(b, "text", RuleProvider()), b))
