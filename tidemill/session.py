@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +51,24 @@ def cut(df: DataFrame) -> DataFrame:
 def small_enough(df: DataFrame, max_rows: int) -> bool:
     """Whether df has at most max_rows rows."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python, once for a context, so that none need it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemill_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    made = Path(tempfile.mkdtemp(prefix="tidemill-")) / "tidemill.zip"
+    with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, Path(package.name) / p.relative_to(package))
+    sc.addPyFile(str(made))
+    sc._tidemill_shipped = True
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as there are cores: small tables come as one file, and Python
+    work on them would run in one task. Tables of enough files are left as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
