@@ -4,8 +4,9 @@ Grammars propose candidate spans: mail addresses, number-like strings, number-an
 pairs of name-like words. Which of them are personal is decided by how strongly the terms in and
 around them reveal a protected entity. Terms are counted over all candidates of the collection
 together with the kind of those whose form alone is telling (seeds). A term's disclosure of a kind
-is log2 P(kind | term) / P(kind) bits; a candidate discloses the sum over its terms, and is replaced
-by a placeholder of its kind (generalised) beyond the kind's threshold. Names grow from a list of
+is how many bits it adds to the log-odds of that kind; a candidate discloses the sum over its terms
+and the kind's own log-odds (where these are negative), and is replaced by a placeholder of its kind
+(generalised) beyond the threshold. Names grow from a list of
 given names: words that mostly follow known given names are family names, words that mostly precede
 known family names are given names, by the same measure. Mail addresses need no context.
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.uniform_text import rules
-from tidemill.session import cut, small_enough
+from tidemill.session import cut, small_enough, spread
 
 KINDS = ("email", "phone", "id_number", "address", "person")
 THRESHOLD = {"number": 1.0, "name": 2.0}
@@ -220,7 +221,7 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def learn_names(df: DataFrame, given_names: DataFrame, text: str, given_name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(given, family, total): lower-case words `w` that are used as names, and every word's uses."""
-    counted = cut(df.select(F.col(text).alias("text")).where("text IS NOT NULL").mapInPandas(_word_counts, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")))
+    counted = cut(spread(df.select(F.col(text).alias("text")).where("text IS NOT NULL")).mapInPandas(_word_counts, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")))
     total = counted.where("b IS NULL").select(F.col("a").alias("w"), F.col("n").alias("total"))
     pairs = counted.where("b IS NOT NULL")
     given = cut(given_names.select(F.lower(F.trim(given_name)).alias("w")).where("w <> ''").distinct())
@@ -259,7 +260,7 @@ def find_candidates(df: DataFrame, record_id: str, text: str, given: DataFrame,
         words = rows.select("id", "text", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}'’-]+"))).alias("w"))
         own = words.join(given.withColumn("is_g", F.lit(True)), "w", "left").join(family.withColumn("is_f", F.lit(True)), "w", "left")
         rows = own.groupBy("id", "text").agg(F.collect_set(F.when(F.col("is_g"), F.col("w"))).alias("g"), F.collect_set(F.when(F.col("is_f"), F.col("w"))).alias("f"))
-    return rows.mapInPandas(each, schema)
+    return spread(rows).mapInPandas(each, schema)
 
 
 def disclosures(found: DataFrame) -> DataFrame:
@@ -272,7 +273,10 @@ def disclosures(found: DataFrame) -> DataFrame:
     joint = terms.groupBy("class", "term", "kind").agg(F.count("*").alias("n"))
     alone = joint.groupBy("class", "term").agg(F.sum("n").alias("all"))
     share = (F.coalesce(F.col("n"), F.lit(0)) + SMOOTHING * F.col("p")) / (F.col("all") + SMOOTHING)
-    return alone.join(F.broadcast(prior), "class").join(joint, ["class", "term", "kind"], "left").select("class", "term", "kind", F.log2(share / F.col("p")).alias("bits"))
+    odds = lambda p: F.log2(p / (1 - p))
+    p = F.least(F.greatest(F.col("p"), F.lit(0.001)), F.lit(0.999))
+    within = F.least(F.greatest(share, F.lit(1e-6)), F.lit(1 - 1e-6))
+    return alone.join(F.broadcast(prior), "class").join(joint, ["class", "term", "kind"], "left").select("class", "term", "kind", (odds(within) - odds(p)).alias("bits"), F.least(odds(p), F.lit(0.0)).alias("prior"))  # prior: a few kinds
 
 
 def find_personal(df: DataFrame, given_names: DataFrame, record_id: str, text: str = "text", given_name: str = "given_name") -> DataFrame:
@@ -285,7 +289,7 @@ def find_personal(df: DataFrame, given_names: DataFrame, record_id: str, text: s
     found = cut(find_candidates(df, record_id, text, given, family).distinct())
     bits = disclosures(found)
     terms = found.where("class IN ('number', 'name')").select("id", "start", "end", "class", F.explode("terms").alias("term"))
-    scores = terms.join(bits, ["class", "term"]).groupBy("id", "start", "end", "class", "kind").agg(F.sum("bits").alias("bits"))
+    scores = terms.join(bits, ["class", "term"]).groupBy("id", "start", "end", "class", "kind").agg((F.sum("bits") + F.first("prior")).alias("bits"))
     best = scores.groupBy("id", "start", "end", "class").agg(F.max(F.struct("bits", "kind")).alias("b"))
     enough = F.create_map(*[F.lit(x) for pair in THRESHOLD.items() for x in pair])[F.col("class")]
     shown = best.where((F.col("b.kind") != "other") & (F.col("b.bits") >= enough)).select("id", "start", "end", F.col("b.kind").alias("kind"))
