@@ -31,7 +31,7 @@ def water_level(largest: list[int], total: int, share: float, basis: str = "inpu
     largest: counts in falling order, at least ceil(1 / share) of them or all; total: the sum of all
     counts. basis "input": the level is share of `base` (default: total) rows that came in.
     basis "output": the level is share of what remains after cutting, found by water-filling; where
-    no level is consistent (too few contributors for the share), the level is the smallest count.
+    the share is below one over the number of contributors, no level above 0 is.
     """
     if not 0 < share <= 1:
         raise ValueError("share must be above 0 and at most 1")
@@ -47,7 +47,7 @@ def water_level(largest: list[int], total: int, share: float, basis: str = "inpu
             if following <= level:
                 return level
         rest -= following
-    return min(largest) if largest else 0
+    return 0
 
 
 def _ratio(share: float) -> tuple[int, int]:

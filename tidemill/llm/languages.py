@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.uniform_text import uniform
-from tidemill.session import cut
+from tidemill.session import cut, spread
 
 DIMENSIONS = 8192
 MAX_SAMPLES = 20_000
@@ -343,6 +343,6 @@ def language_segments(df: DataFrame, profiles: Profiles, record_id: str, text: s
                 for k, (name, c) in enumerate(s, 1):
                     rows.append(i), numbers.append(k), sizes.append(len(s)), names.append(name), sure.append(round(c, 4))
             out = b[columns].iloc[rows].reset_index(drop=True)
-            yield out.assign(seg_no=np.array(numbers, np.int32), segments=np.array(sizes, np.int32), lang_found=names, confidence=np.array(sure, float))
+            yield out.assign(seg_no=np.array(numbers, np.int32), segments=np.array(sizes, np.int32), lang_found=pd.Series(names, dtype=object), confidence=np.array(sure, float))
 
-    return df.select(*columns, F.col(text).alias("__text")).where("__text IS NOT NULL").mapInPandas(f, schema)
+    return spread(df.select(*columns, F.col(text).alias("__text")).where("__text IS NOT NULL")).mapInPandas(f, schema)

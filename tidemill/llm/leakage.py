@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.uniform_text import skeleton
-from tidemill.session import cut, small_enough
+from tidemill.session import cut, small_enough, spread
 
 SHINGLE = 5
 #: Up to so many item shingles (about 40 bytes each) are sent to the tasks that read documents;
@@ -84,7 +84,7 @@ def _hits(window: int, known: set[str] | None):
                             if known is None or s in known:
                                 docs.append(doc), places.append(k), shingles.append(s)
                     i = j
-            yield pd.DataFrame({"doc": docs, "pos": places, "shingle": shingles})
+            yield pd.DataFrame(list(zip(docs, places, shingles)), columns=["doc", "pos", "shingle"])
 
     return f
 
@@ -96,7 +96,7 @@ def leaked_windows(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str,
     """
     if window < SHINGLE:
         raise ValueError(f"a window has at least {SHINGLE} words")
-    docs = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
+    docs = spread(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL AND text IS NOT NULL"))
     items = items.select(F.col(item_id).alias("item"), F.col(text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
     doc_type, item_type = docs.schema["doc"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
     windows = cut(items.mapInPandas(_windows(window), f"item {item_type}, at int, shingles array<string>"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.session import cut
+from tidemill.session import cut, spread
 
 OPEN_BINS = 128
 SHARD_UNITS = 4_000_000
@@ -51,7 +51,7 @@ def token_counts(df: DataFrame, text: str = "text", into: str = "tokens", path:
     def count(s: pd.Series) -> pd.Series:
         return s.map(lambda t: token_count(t, path)).astype("int64")
 
-    return df.withColumn(into, count(F.col(text)))
+    return spread(df).withColumn(into, count(F.col(text)))
 
 
 class BestFit:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.uniform_text import uniform
-from tidemill.session import cut
+from tidemill.session import cut, spread
 
 BUCKETS, DIMENSIONS = 1 << 15, 16
 TRAIN_SENTENCES = 20_000
@@ -37,10 +37,10 @@ PARTITIONS = 8
 SURE = 0.7
 SHARE = 1 / 6
 #: Wording used at least so often is judged by its company, smoothed by so many usual uses. It belongs
-#: to a subject kept so many times as often as usual and with so great a part of all that it keeps;
-#: it is neutral below the second pair of limits.
+#: to a subject that so great a share of the sentences around it concern, if that is so great a part
+#: of all it keeps (each against the usual); it is neutral below the second pair of limits.
 LEAST_USES, SMOOTHING = 15, 15.0
-BELONGS, NEUTRAL = (3.0, 0.5), (2.0, 0.4)
+BELONGS, NEUTRAL = (0.15, 0.5), (0.1, 0.4)
 
 _LEAD = regex.compile(r"^\s*(?:@[\p{L}\p{N}_.]+\s*:|[-*>•]+|#{1,6}\s)\s*")
 _HEADING = regex.compile(r"^\s*#{1,6}\s|^\s*(?:#\w+\s*)+$")
@@ -116,10 +116,10 @@ def _gradient(sent):
         for b in batches:
             if not len(b):
                 continue
-            lengths = b["buckets"].str.len().to_numpy()
-            flat = np.concatenate(b["buckets"].to_list()).astype(np.int64)
+            lengths = b["buckets"].str.len().to_numpy() // 4
+            flat = np.frombuffer(b"".join(b["buckets"]), "<i4").astype(np.int64)
             starts = np.r_[0, np.cumsum(lengths)[:-1]]
-            targets = np.stack(b["targets"].to_list()).astype(np.float32)
+            targets = np.frombuffer(b"".join(b["targets"]), "<f4").reshape(len(b), -1)
             h = np.add.reduceat(vectors[flat], starts) / lengths[:, None].astype(np.float32)
             p = 1 / (1 + np.exp(-(h @ weights + bias)))
             e = (p - targets).astype(np.float32)
@@ -137,9 +137,9 @@ def _gradient(sent):
     return f
 
 
-def train(rows: DataFrame, model: Model, steps: int = STEPS, rate: float = RATE) -> Model:
-    """model after `steps` synchronised steps on rows of (buckets, targets)."""
-    rows = cut(rows.select("buckets", "targets").repartition(PARTITIONS))
+def train(rows: DataFrame, model: Model, steps: int = STEPS, rate: float = RATE, partitions: int = PARTITIONS) -> Model:
+    """model after `steps` synchronised steps on rows of (buckets, targets), packed."""
+    rows = cut(rows.select("buckets", "targets").repartition(partitions))
     params = [model.vectors.copy(), model.weights.copy(), model.bias.copy()]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for t in range(1, steps + 1):
@@ -161,11 +161,15 @@ def train(rows: DataFrame, model: Model, steps: int = STEPS, rate: float = RATE)
     return Model(model.names, *params)
 
 
+def packed(values, kind: str) -> bytes:
+    return np.asarray(values, kind).tobytes()
+
+
 def _sample_rows(samples: DataFrame, names: list[str], text: str, subject: str) -> pd.DataFrame:
     out = []
     for r in samples.select(text, subject).dropna().orderBy(subject, text).limit(MAX_SAMPLES).collect():
-        target = [float(n == r[1]) for n in names]
-        out += [(buckets(w), target) for w in sentences(r[0])]
+        target = packed([n == r[1] for n in names], "<f4")
+        out += [(packed(buckets(w), "<i4"), target) for w in sentences(r[0])]
     return pd.DataFrame(out, columns=["buckets", "targets"])
 
 
@@ -180,15 +184,22 @@ def company(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = sent.value
-        total: dict[str, np.ndarray] = {}
+        said: dict[str, np.ndarray] = {}  # by sentence, as sentences recur
 
         def rows() -> pd.DataFrame:
-            out = pd.DataFrame({"wording": list(total)})
+            total: dict[str, np.ndarray] = {}
+            for key, add in said.items():
+                for x in _wording(key.split(" ")):
+                    if x in total:
+                        total[x] += add
+                    else:
+                        total[x] = add.copy()
+            said.clear()
+            out = pd.DataFrame({"wording": pd.Series(list(total), dtype=object)})
             values = np.stack(list(total.values())) if total else np.zeros((0, k + 1))
             out["n"] = values[:, 0].astype(np.int64)
             for i in range(k):
                 out[f"with_{i}"] = np.round(values[:, i + 1] * 1e4).astype(np.int64)
-            total.clear()
             return out
 
         for b in batches:
@@ -199,18 +210,17 @@ def company(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 sure = np.stack([m.scores(w) for w in s]) >= SURE
                 around = (sure.sum(axis=0) - sure) / (len(s) - 1)
                 for w, a in zip(s, around):
-                    add = np.r_[1.0, a]
-                    for x in _wording(w):
-                        if x in total:
-                            total[x] += add
-                        else:
-                            total[x] = add.copy()
-            if len(total) > 300_000:
+                    add, key = np.r_[1.0, a], " ".join(w)
+                    if key in said:
+                        said[key] += add
+                    else:
+                        said[key] = add
+            if len(said) > 50_000:
                 yield rows()
         yield rows()
 
     columns = [f"with_{i}" for i in range(k)]
-    found = docs.select(F.col(text).alias("text")).where("text IS NOT NULL").mapInPandas(f, "wording string, n bigint, " + ", ".join(f"{c} bigint" for c in columns))
+    found = spread(docs.select(F.col(text).alias("text")).where("text IS NOT NULL")).mapInPandas(f, "wording string, n bigint, " + ", ".join(f"{c} bigint" for c in columns))
     return found.groupBy("wording").agg(F.sum("n").alias("n"), *[(F.sum(c) / 1e4).alias(c) for c in columns])
 
 
@@ -220,9 +230,9 @@ def corpus_sentences(docs: DataFrame, text: str, limit: int) -> DataFrame:
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             seen = {" ".join(w) for t in b["text"] for w in sentences(t) if len(w) > 2}
-            yield pd.DataFrame({"words": sorted(seen)})
+            yield pd.DataFrame({"words": pd.Series(sorted(seen), dtype=object)})
 
-    found = docs.select(F.col(text).alias("text")).where("text IS NOT NULL").mapInPandas(f, "words string")
+    found = spread(docs.select(F.col(text).alias("text")).where("text IS NOT NULL")).mapInPandas(f, "words string")
     return found.groupBy("words").agg(F.xxhash64("words").alias("h")).orderBy("h", "words").limit(limit).select("words")
 
 
@@ -234,7 +244,7 @@ def judged(found: DataFrame, uses: DataFrame, names: list[str]) -> DataFrame:
     smooth = [((F.col(f"with_{i}") + SMOOTHING * rates[i]) / (F.col("n") + SMOOTHING) / F.lit(rates[i])).alias(f"lift_{i}") for i in range(k)]
     known = uses.where(F.col("n") >= LEAST_USES).select("wording", *smooth)
     whole = sum((F.col(f"lift_{i}") for i in range(1, k)), F.col("lift_0"))
-    least = lambda limits: [F.when(F.col(f"lift_{i}") / whole >= limits[1], F.col(f"lift_{i}")).otherwise(0.0) >= limits[0] for i in range(k)]
+    least = lambda limits: [(F.col(f"lift_{i}") / whole >= max(limits[1], 1 / k + 0.25)) & (F.col(f"lift_{i}") >= 1.5) & (F.col(f"lift_{i}") * rates[i] >= limits[0]) for i in range(k)]
     marked = known.select("wording", *[x.cast("int").alias(f"own_{i}") for i, x in enumerate(least(BELONGS))], *[x.cast("int").alias(f"some_{i}") for i, x in enumerate(least(NEUTRAL))])
     pairs = F.expr("transform(slice(w, 1, greatest(size(w) - 1, 0)), (x, i) -> concat(x, ' ', w[i + 1]))")
     worded = found.withColumn("w", F.split("words", " ")).select("words", F.explode(F.array_distinct(F.concat(F.col("w"), pairs))).alias("wording"))
@@ -247,15 +257,15 @@ def judged(found: DataFrame, uses: DataFrame, names: list[str]) -> DataFrame:
 def fit(samples: DataFrame, docs: DataFrame, names: list[str], sample_text: str = "text", subject: str = "subject", text: str = "text") -> Model:
     """A model of the named subjects from labelled samples and the company that wording keeps in docs."""
     spark = samples.sparkSession
-    schema = "buckets array<int>, targets array<float>"
+    schema = "buckets binary, targets binary"
     labelled = spark.createDataFrame(_sample_rows(samples, names, sample_text, subject), schema)
-    first = train(labelled, Model.fresh(names))
+    first = train(labelled, Model.fresh(names), partitions=2)
     uses = cut(company(docs, first, text))
     found = judged(corpus_sentences(docs, text, TRAIN_SENTENCES), uses, names)
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"buckets": [buckets(w.split(" ")) for w in b["words"]], "targets": b["targets"]})
+            yield pd.DataFrame({"buckets": [packed(buckets(w.split(" ")), "<i4") for w in b["words"]], "targets": [packed(t, "<f4") for t in b["targets"]]})
 
     return train(found.mapInPandas(hashed, schema).unionByName(labelled), Model.fresh(names))
 
@@ -277,4 +287,4 @@ def subject_shares(docs: DataFrame, model: Model, doc_id: str, text: str = "text
             yield pd.DataFrame(out, columns=["doc", "subject", "share", "sentences"])
 
     rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
-    return rows.mapInPandas(f, f"doc {kind}, subject string, share double, sentences int").withColumnRenamed("doc", doc_id)
+    return spread(rows).mapInPandas(f, f"doc {kind}, subject string, share double, sentences int").withColumnRenamed("doc", doc_id)

@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import spread
+
 TERM = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 LIST_MAX = 4096
 FLUSH_POSTINGS = 1_000_000
@@ -120,7 +122,7 @@ def term_index(df: DataFrame, record_id: str, text: str = "text") -> DataFrame:
     """
     own = -F.monotonically_increasing_id() - 1
     rows = df.select(F.coalesce(F.col(record_id).cast("bigint"), own).alias("rid"), F.col(text).alias("text")).where("text IS NOT NULL")
-    built = rows.mapInPandas(_build, INDEX_SCHEMA)
+    built = spread(rows).mapInPandas(_build, INDEX_SCHEMA)
     return built.repartition("term", "block").sortWithinPartitions("term", "block").mapInPandas(_merge, INDEX_SCHEMA)
 
 

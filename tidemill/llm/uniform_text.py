@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.session import cut
+from tidemill.session import cut, spread
 
 # Letters of other scripts that readers cannot tell from a Latin letter.
 LOOK_ALIKES = {
@@ -225,7 +225,7 @@ def look_alike_pairs(df: DataFrame, id_col: str, text: str = "text") -> DataFram
     joined. Copies of one spelling are never paired. Rows without id or text have no pair.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).where("id IS NOT NULL AND t IS NOT NULL")
-    rows = cut(rows.select("id", _digest(skeleton_udf("t")).alias("form"), _digest(F.col("t")).alias("spelling")))
+    rows = cut(spread(rows).select("id", _digest(skeleton_udf("t")).alias("form"), _digest(F.col("t")).alias("spelling")))
     several = rows.groupBy("form").agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).where("lo <> hi").select("form")
     rows = cut(rows.join(several, "form", "left_semi"))
     a, b = rows.alias("a"), rows.alias("b")
