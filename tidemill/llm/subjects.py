@@ -244,7 +244,7 @@ def judged(found: DataFrame, uses: DataFrame, names: list[str]) -> DataFrame:
     smooth = [((F.col(f"with_{i}") + SMOOTHING * rates[i]) / (F.col("n") + SMOOTHING) / F.lit(rates[i])).alias(f"lift_{i}") for i in range(k)]
     known = uses.where(F.col("n") >= LEAST_USES).select("wording", *smooth)
     whole = sum((F.col(f"lift_{i}") for i in range(1, k)), F.col("lift_0"))
-    least = lambda limits: [(F.col(f"lift_{i}") / whole >= max(limits[1], 1 / k + 0.25)) & (F.col(f"lift_{i}") >= 1.5) & (F.col(f"lift_{i}") * rates[i] >= limits[0]) for i in range(k)]
+    least = lambda limits: [(F.col(f"lift_{i}") / whole >= max(limits[1], 1 / k + 0.25)) & (F.col(f"lift_{i}") >= 1.25) & (F.col(f"lift_{i}") * rates[i] >= limits[0]) for i in range(k)]
     marked = known.select("wording", *[x.cast("int").alias(f"own_{i}") for i, x in enumerate(least(BELONGS))], *[x.cast("int").alias(f"some_{i}") for i, x in enumerate(least(NEUTRAL))])
     pairs = F.expr("transform(slice(w, 1, greatest(size(w) - 1, 0)), (x, i) -> concat(x, ' ', w[i + 1]))")
     worded = found.withColumn("w", F.split("words", " ")).select("words", F.explode(F.array_distinct(F.concat(F.col("w"), pairs))).alias("wording"))
