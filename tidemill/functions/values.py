@@ -56,3 +56,8 @@ def roughly_equal(a: Column, b: Column) -> Column:
 def share(part: Column, whole: Column, digits: int = 4) -> Column:
     """part / whole rounded; 0 where whole is 0 or null."""
     return F.when(whole > 0, F.round(part / whole, digits)).otherwise(F.lit(0.0))
+
+
+def seconds(ts: Column) -> Column:
+    """Seconds since 1970 of a time without zone, read as UTC whatever the session's zone."""
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))

@@ -103,10 +103,11 @@ def author_totals_on_comments(spark, root):
 )
 def tag_cooccurrence(spark, root):
     """Pairs of event types on one user's day; types of a day are gathered first (there are few)."""
+    from tidemill.functions.values import seconds
     from tidemill.sources.tables import table
 
     e = table(spark, root, "events")
-    day = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 86400)
+    day = F.floor(seconds(F.col("ts")) / 86400)
     t = e.groupBy("user_id", day.alias("day")).agg(F.array_sort(F.collect_set("event_type")).alias("t"))
     pairs = F.expr("flatten(transform(t, (x, i) -> transform(slice(t, i + 2, size(t)), y -> struct(x as first, y as second))))")
     return t.select(F.explode(pairs).alias("p")).groupBy("p.first", "p.second").agg(F.count("*").alias("user_days"))

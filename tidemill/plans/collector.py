@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemill.functions.values import seconds
 from tidemill.plans.base import COMMENTS, comments, posts
 from tidemill.plans.catalog import query
 from tidemill.sources.tables import table
@@ -21,7 +22,7 @@ _EVENTS = """
 
 def telemetry(spark, root):
     e = table(spark, root, "events")
-    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    at = seconds(F.col("ts"))
     return e.select("event_id", F.col("user_id").alias("worker"), F.col("event_type").alias("kind"), at.alias("at_s"), F.floor(at / 86400).alias("session"), F.get_json_object("props", "$.k").cast("bigint").alias("captured"))
 
 

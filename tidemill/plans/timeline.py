@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.functions import text as T
+from tidemill.functions.values import seconds
 from tidemill.operators.intervals import days_between, nearest, within_days
 from tidemill.operators.linking import confidence, link_score
 from tidemill.plans.base import COMMENTS, posts
@@ -157,5 +158,5 @@ def event_reason_codes(spark, root):
 def tumbling_event_counts(spark, root):
     """Events by hour and type (an extension: tumbling windows)."""
     e = table(spark, root, "events")
-    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)
+    hour = F.floor(seconds(F.col("ts")) / 3600)
     return e.groupBy(hour.alias("hour"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("value"))
