@@ -82,6 +82,8 @@ class Model:
     def __init__(self, names: list[str], vectors: np.ndarray, weights: np.ndarray, bias: np.ndarray):
         self.names, self.vectors, self.weights, self.bias = names, vectors, weights, bias
         self.known: dict = {}
+        self.words: dict = {}
+        self.pairs: dict = {}
 
     def __getstate__(self):
         return self.names, self.vectors, self.weights, self.bias
@@ -99,13 +101,33 @@ class Model:
         key = " ".join(words)
         p = self.known.get(key)
         if p is None:
-            h = self.vectors[buckets(words)].mean(axis=0)
+            parts = [self._word(w) for w in words]
+            rows = [v for v, _ in parts] + [self._pair(*x) for x in zip(words, words[1:])]
+            h = np.add.reduce(rows) / (sum(n for _, n in parts) + len(words) - 1)
             p = 1 / (1 + np.exp(-(h @ self.weights + self.bias)))
             if len(self.known) > 100_000:
                 self.known.clear()
             self.known[key] = p
         return p
 
+    def _word(self, w: str) -> tuple[np.ndarray, int]:
+        """The sum of the vectors of a word and its parts, and how many they are."""
+        found = self.words.get(w)
+        if found is None:
+            if len(self.words) > 200_000:
+                self.words.clear()
+            own = word_buckets(w)
+            found = self.words[w] = self.vectors[own].sum(axis=0), len(own)
+        return found
+
+    def _pair(self, a: str, b: str) -> np.ndarray:
+        found = self.pairs.get((a, b))
+        if found is None:
+            if len(self.pairs) > 200_000:
+                self.pairs.clear()
+            found = self.pairs[a, b] = self.vectors[_bucket(f"{a} {b}")]
+        return found
+
 
 def _gradient(sent):
     """Sums of gradients over a partition's rows of (buckets, targets), as one packed row."""
@@ -210,7 +232,8 @@ def company(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 sure = np.stack([m.scores(w) for w in s]) >= SURE
                 around = (sure.sum(axis=0) - sure) / (len(s) - 1)
                 for w, a in zip(s, around):
-                    add, key = np.r_[1.0, a], " ".join(w)
+                    add, key = np.empty(k + 1), " ".join(w)
+                    add[0], add[1:] = 1.0, a
                     if key in said:
                         said[key] += add
                     else:
