@@ -9,6 +9,7 @@ from tidemill.operators.keyed import merge_states
 from tidemill.operators.ranking import top_k
 from tidemill.plans.base import COMMENTS, comments, posts
 from tidemill.plans.catalog import query
+from tidemill.session import cut
 from tidemill.sources.tables import table
 
 
@@ -119,6 +120,7 @@ def _numbered(df, order, into):
     from pyspark.sql import Window
 
     s = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    s = cut(s)  # read twice below; evaluated twice, the ranges would differ
     s = s.withColumn("__at", F.col("__at") - F.shiftleft(F.col("__part").cast("bigint"), 33) + 1)
     sizes = s.groupBy("__part").agg(F.count("*").alias("__n"))  # one row a partition
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__part", "__before")
