@@ -4,6 +4,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from tidemill.operators.providers import RuleProvider, extract_signals, numbered_batches, resolve_pointers
 from tidemill.plans.summaries import _numbered
 
 
@@ -27,3 +28,13 @@ def test_numbered_keeps_every_row(spark):
     with small_partitions(spark):
         got = _numbered(df, ["at", "id"], "position").collect()
     assert [r.position for r in sorted(got, key=lambda r: (r["at"], r["id"]))] == list(range(1, n + 1))
+
+
+def test_pointers_resolve_to_their_own_rows(spark):
+    n, cues = 40_000, RuleProvider.PROBLEM
+    cue = lambda i: F.element_at(F.array(*[F.lit(c) for c in cues]), (i % len(cues) + 1).cast("int"))
+    df = spark.range(n).select(F.format_string("c%08d", "id").alias("comment_id"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("likes"), F.concat_ws(" ", cue(F.col("id")), F.sha2(F.col("id").cast("string"), 512)).alias("text"))
+    with small_partitions(spark):
+        b = numbered_batches(df, [F.desc("likes"), F.asc("comment_id")])
+        r = resolve_pointers(extract_signals(b, "text", RuleProvider()), b).agg(F.count("*").alias("n"), F.count_distinct("comment_id").alias("rows"), F.count_if(F.col("problem") == cue(F.substring("comment_id", 2, 8).cast("bigint"))).alias("own"))
+        assert tuple(r.first()) == (n, n, n)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.salvage import salvage_array
+from tidemill.session import cut
 
 BATCH = 150
 
@@ -59,12 +60,13 @@ def numbered_batches(df: DataFrame, order: list, size: int = BATCH) -> DataFrame
     """df with batch and index (from 1): rows in order, `size` to a batch.
 
     Rows are spread over ranges of the order and numbered within each, so batches never cross ranges
-    and no task numbers the whole table.
+    and no task numbers the whole table. The result is computed once, as pointers into batches are
+    resolved against it and another evaluation would draw other ranges.
     """
     s = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
     w = Window.partitionBy("__part").orderBy(*order)
     n = F.row_number().over(w) - 1
-    return s.withColumn("__n", n).withColumn("batch", F.concat_ws("-", "__part", F.floor(F.col("__n") / size))).withColumn("index", (F.col("__n") % size + 1).cast("int")).drop("__part", "__n")
+    return cut(s.withColumn("__n", n).withColumn("batch", F.concat_ws("-", "__part", F.floor(F.col("__n") / size))).withColumn("index", (F.col("__n") % size + 1).cast("int")).drop("__part", "__n"))
 
 
 def extract_signals(batched: DataFrame, text: str, provider: Provider) -> DataFrame:
