@@ -9,8 +9,8 @@ numbers, whatever the data). A document is about a subject if enough of its sent
 Labelled samples don't show every wording, so the model is fitted twice: on the samples, then on
 sentences of the collection as well. For these, every word and word pair is counted over all documents
 together with the subjects found among the other sentences of its document: wording that keeps company
-with one subject belongs to it, and wording that keeps any company belongs to none. Training takes at
-most TRAIN_SENTENCES sentences, chosen by hash; counts and scores cover every document.
+with one subject belongs to it, and wording that keeps any company belongs to none. Training takes
+every distinct sentence of over two words that is judged so.
 
 Defined results: null and empty documents, and documents about no subject, have no row.
 """
@@ -30,7 +30,6 @@ from tidemill.llm.uniform_text import uniform
 from tidemill.session import cut, spread
 
 BUCKETS, DIMENSIONS = 1 << 15, 16
-TRAIN_SENTENCES = 20_000
 MAX_SAMPLES = 20_000
 STEPS, RATE = 40, 0.1
 PARTITIONS = 8
@@ -148,7 +147,7 @@ def _gradient(sent):
             loss -= float(np.sum(targets * np.log(p + 1e-9) + (1 - targets) * np.log(1 - p + 1e-9)))
             gw += h.T @ e
             gb += e.sum(axis=0)
-            order = np.argsort(flat, kind="stable")
+            order = np.argsort(flat.astype(np.uint16), kind="stable")  # a radix sort; BUCKETS fit
             begin = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
             each = (e @ weights.T / lengths[:, None]).astype(np.float32)
             gv[flat[order][begin]] += np.add.reduceat(each[np.repeat(np.arange(len(b)), lengths)[order]], begin)
@@ -227,7 +226,7 @@ def company(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for b in batches:
             for t in b["text"]:
                 s = sentences(t)
-                if len(s) < 3:
+                if len(s) < 2:
                     continue
                 sure = np.stack([m.scores(w) for w in s]) >= SURE
                 around = (sure.sum(axis=0) - sure) / (len(s) - 1)
@@ -247,8 +246,8 @@ def company(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return found.groupBy("wording").agg(F.sum("n").alias("n"), *[(F.sum(c) / 1e4).alias(c) for c in columns])
 
 
-def corpus_sentences(docs: DataFrame, text: str, limit: int) -> DataFrame:
-    """(words): at most `limit` distinct sentences, the first by hash."""
+def corpus_sentences(docs: DataFrame, text: str) -> DataFrame:
+    """(words): the distinct sentences of over two words."""
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -256,7 +255,7 @@ def corpus_sentences(docs: DataFrame, text: str, limit: int) -> DataFrame:
             yield pd.DataFrame({"words": pd.Series(sorted(seen), dtype=object)})
 
     found = spread(docs.select(F.col(text).alias("text")).where("text IS NOT NULL")).mapInPandas(f, "words string")
-    return found.groupBy("words").agg(F.xxhash64("words").alias("h")).orderBy("h", "words").limit(limit).select("words")
+    return found.distinct()
 
 
 def judged(found: DataFrame, uses: DataFrame, names: list[str]) -> DataFrame:
@@ -284,7 +283,7 @@ def fit(samples: DataFrame, docs: DataFrame, names: list[str], sample_text: str
     labelled = spark.createDataFrame(_sample_rows(samples, names, sample_text, subject), schema)
     first = train(labelled, Model.fresh(names), partitions=2)
     uses = cut(company(docs, first, text))
-    found = judged(corpus_sentences(docs, text, TRAIN_SENTENCES), uses, names)
+    found = judged(corpus_sentences(docs, text), uses, names)
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
