@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemill.llm import subjects
+from tidemill.llm.leakage import leaking_documents, leaks
 
 
 def test_subjects_train_on_every_judged_sentence(spark, monkeypatch):
@@ -25,3 +26,11 @@ def test_company_counts_documents_of_two_sentences(spark):
     docs = spark.createDataFrame([("The judge upheld it. She smiled.",), ("One alone.",)], "text string")
     uses = {r.wording: r.n for r in subjects.company(docs, subjects.Model.fresh(["law", "sport"])).collect()}
     assert uses["judge"] == uses["she smiled"] == 1 and "alone" not in uses
+
+
+def test_leaks_of_repeated_items(spark):
+    a, b = [" ".join(f"{x}{i}" for i in range(12)) for x in "ab"]
+    docs = spark.createDataFrame([(1, a), (1, a), (2, b), (3, f"{a} {b}")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, a), (7, a), (8, a), (8, b)], "item_id bigint, text string")
+    assert sorted(map(tuple, leaking_documents(docs, items, "doc_id", "item_id").collect())) == [(1, 7), (1, 8), (2, 8), (3, 7), (3, 8)]
+    assert sorted(map(tuple, leaks(docs, items, "doc_id", "item_id").collect())) == [(1, 7, 3, 12), (1, 8, 3, 12), (2, 8, 3, 12), (3, 7, 3, 12), (3, 8, 6, 24)]

@@ -11,6 +11,7 @@ candidate stands only if all its shingles stand at their places (exact containme
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -55,9 +56,10 @@ def _windows(window: int):
             out = []
             for item, text in zip(b["item"], b["text"]):
                 w = words(text)
+                of = hashlib.blake2b(" ".join(w).encode(), digest_size=16).hexdigest()
                 for i in range(len(w) - window + 1):
-                    out.append((item, i, [" ".join(w[j : j + SHINGLE]) for j in range(i, i + window - SHINGLE + 1)]))
-            yield pd.DataFrame(out, columns=["item", "at", "shingles"])
+                    out.append((item, of, i, [" ".join(w[j : j + SHINGLE]) for j in range(i, i + window - SHINGLE + 1)]))
+            yield pd.DataFrame(out, columns=["item", "of", "at", "shingles"])
 
     return f
 
@@ -90,16 +92,17 @@ def _hits(window: int, known: set[str] | None):
 
 
 def leaked_windows(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str = "text", window: int = 10) -> DataFrame:
-    """(doc, item, pos, at): the window of `item` that begins at its word `at` stands at word `pos` of `doc`.
+    """(doc, item, pos, of, at): the window of `item` that begins at its word `at` stands at word `pos` of `doc`.
 
-    Items and documents of fewer than `window` words, and rows without identifier, have none.
+    Items and documents of fewer than `window` words, and rows without identifier, have none. A repeated
+    row counts once; an item of several texts has the windows of each, told apart by `of`.
     """
     if window < SHINGLE:
         raise ValueError(f"a window has at least {SHINGLE} words")
     docs = spread(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL AND text IS NOT NULL"))
     items = items.select(F.col(item_id).alias("item"), F.col(text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
     doc_type, item_type = docs.schema["doc"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
-    windows = cut(items.mapInPandas(_windows(window), f"item {item_type}, at int, shingles array<string>"))
+    windows = cut(items.mapInPandas(_windows(window), f"item {item_type}, of string, at int, shingles array<string>").dropDuplicates(["item", "of", "at"]))
     wanted = windows.select(F.explode("shingles").alias("shingle")).distinct()
     schema = f"doc {doc_type}, pos int, shingle string"
     if small_enough(wanted, MAX_SENT_SHINGLES):
@@ -107,18 +110,18 @@ def leaked_windows(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str,
     else:
         hits = cut(docs.mapInPandas(_hits(window, None), schema).join(wanted, "shingle", "left_semi").select("doc", "pos", "shingle"))
     rarity = hits.groupBy("shingle").agg(F.count("*").alias("n"))
-    parts = windows.select("item", "at", "shingles", F.posexplode("shingles").alias("off", "shingle")).join(rarity, "shingle")
+    parts = windows.select("item", "of", "at", "shingles", F.posexplode("shingles").alias("off", "shingle")).join(rarity, "shingle")
     prefix = (
-        parts.groupBy("item", "at")
+        parts.groupBy("item", "of", "at")
         .agg(F.count("*").alias("present"), F.first("shingles").alias("shingles"), F.min(F.struct("n", "off", "shingle")).alias("p"))
         .where("present = size(shingles)")
-        .select("item", "at", "shingles", "p.off", "p.shingle")
+        .select("item", "of", "at", "shingles", "p.off", "p.shingle")
     )
-    found = hits.join(prefix, "shingle").where("pos >= off").select("doc", "item", (F.col("pos") - F.col("off")).alias("begin"), "at", "shingles")
-    every = found.select("doc", "item", "begin", "at", F.size("shingles").alias("size"), F.posexplode("shingles").alias("off", "shingle"))
+    found = hits.join(prefix, "shingle").where("pos >= off").select("doc", "item", (F.col("pos") - F.col("off")).alias("begin"), "of", "at", "shingles")
+    every = found.select("doc", "item", "begin", "of", "at", F.size("shingles").alias("size"), F.posexplode("shingles").alias("off", "shingle"))
     every = every.withColumn("pos", F.col("begin") + F.col("off")).join(hits.distinct(), ["doc", "pos", "shingle"], "left_semi")
-    whole = every.groupBy("doc", "item", "begin", "at").agg(F.count_distinct("off").alias("held"), F.first("size").alias("size")).where("held = size")
-    return whole.select("doc", "item", F.col("begin").alias("pos"), "at")
+    whole = every.groupBy("doc", "item", "begin", "of", "at").agg(F.count_distinct("off").alias("held"), F.first("size").alias("size")).where("held = size")
+    return whole.select("doc", "item", F.col("begin").alias("pos"), "of", "at")
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str = "text", window: int = 10) -> DataFrame:
@@ -127,9 +130,9 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: st
     windows: distinct windows of the item it holds; item_words: distinct words' places of the item
     covered by them.
     """
-    w = leaked_windows(docs, items, doc_id, item_id, text, window).select("doc", "item", "at").distinct()
-    covered = w.select("doc", "item", F.explode(F.sequence(F.col("at"), F.col("at") + window - 1)).alias("place"))
-    words_held = covered.groupBy("doc", "item").agg(F.count_distinct("place").alias("item_words"))
+    w = leaked_windows(docs, items, doc_id, item_id, text, window).select("doc", "item", "of", "at").distinct()
+    covered = w.select("doc", "item", "of", F.explode(F.sequence(F.col("at"), F.col("at") + window - 1)).alias("place"))
+    words_held = covered.groupBy("doc", "item").agg(F.count_distinct("of", "place").alias("item_words"))
     counts = w.groupBy("doc", "item").agg(F.count("*").alias("windows"))
     return counts.join(words_held, ["doc", "item"]).select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "windows", "item_words")
 
