@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -22,6 +23,7 @@ def local_session(app: str = "tidemill", cores: int | str = 8, **conf: str) -> S
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
@@ -43,7 +45,11 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared checkpoint folder, so a lost executor loses nothing."""
+    """df, computed once and kept in the shared checkpoint folder, so a lost executor loses nothing.
+
+    Spark removes a checkpoint once its frame is out of use if spark.cleaner.referenceTracking.cleanCheckpoints
+    is set, as a session should.
+    """
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -69,6 +75,25 @@ def ship(spark: SparkSession) -> None:
 
 def spread(df: DataFrame) -> DataFrame:
     """df over at least as many partitions as there are cores: small tables come as one file, and Python
-    work on them would run in one task. Tables of enough files are left as they are, without a shuffle."""
+    work on them would run in one task. Tables of enough files are left as they are, without a shuffle,
+    and so are frames that a shuffle spread already."""
+    shuffled = ("Join", "Aggregate", "Repartition", "Sort", "Window", "Distinct")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(x in plan for x in shuffled):  # counting their partitions would run them
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def written(df: DataFrame, by: str) -> tuple[DataFrame, str]:
+    """df as a table in the shared checkpoint folder, parted by a column, and its path; remove it after use."""
+    spark = df.sparkSession
+    _ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.partitionBy(by).parquet(path)
+    return spark.read.parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
