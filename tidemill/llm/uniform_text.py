@@ -1,9 +1,12 @@
 """One consistent form for text that looks the same but differs in its characters.
 
-A rule table (widths, letter-like forms, spaces, invisible characters, look-alike letters) is built
-once, checked for conflicts and compiled into a longest-match transducer. Text is cut into grapheme
-clusters; each cluster is decomposed, sent through the transducer and composed again, in one pass.
-Clusters recur, so a cluster's output is remembered.
+A rule table is built once, checked for conflicts and compiled into a longest-match transducer. It has
+two kinds of rules: a character's symbols (widths, letter-like forms, spaces, look-alike letters, and
+none for invisible characters), and joins of several symbols into one letter (a letter and its accents).
+The transducer reads the decomposed characters of a grapheme cluster, turns each into its symbols and
+emits the output of the longest join that the symbols make, all in one pass: an accent is joined with
+its letter whether that letter was plain, wide or a look-alike, and whatever invisible character stood
+between them. Clusters recur, so a cluster's output is remembered.
 
 Defined results: null stays null; empty text stays empty; case, accents, punctuation and emoji as
 shown are kept; joiners that shape an emoji or a letter of a joining script are kept.
@@ -21,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.operators.skew import lookup
 from tidemill.session import cut, spread
 
 # Letters of other scripts that readers cannot tell from a Latin letter.
@@ -50,12 +54,14 @@ _JOINING = regex.compile(r"[\p{Arabic}\p{Syriac}\p{Mongolian}\p{Devanagari}\p{Be
 
 
 class Transducer:
-    """Longest-match rewriting by a trie in flat tables; unmatched characters are copied."""
+    """Longest-match rewriting in one pass. symbols: character to what it is read as (other characters are
+    read as they are); joins: sequences of symbols to their output (other symbols are copied)."""
 
-    def __init__(self, rules: dict[str, str]):
+    def __init__(self, symbols: dict[str, str], joins: dict[str, str] | None = None):
+        self.symbols = symbols
         self.next: list[dict[str, int]] = [{}]
         self.out: list[str | None] = [None]
-        for left, right in sorted(rules.items()):
+        for left, right in sorted((joins or {}).items()):
             if not left:
                 raise ValueError("a rule without input")
             at = 0
@@ -68,10 +74,12 @@ class Transducer:
             self.out[at] = right
 
     def __call__(self, s: str) -> str:
-        done, i, n = [], 0, len(s)
+        get = self.symbols.get
+        read = [x for c in s for x in get(c, c)]
+        done, i, n = [], 0, len(read)
         while i < n:
-            at, j, best, end = 0, i, s[i], i + 1
-            while j < n and (to := self.next[at].get(s[j])) is not None:
+            at, j, best, end = 0, i, read[i], i + 1
+            while j < n and (to := self.next[at].get(read[j])) is not None:
                 at, j = to, j + 1
                 if self.out[at] is not None:
                     best, end = self.out[at], j
@@ -81,25 +89,24 @@ class Transducer:
 
 
 def rules(look_alikes: dict[str, str] | None = None) -> dict[str, str]:
-    """The mapping from decomposed characters to their one form, checked for conflicts."""
+    """The symbols of characters, decomposed on either side, checked for conflicts."""
     found: dict[str, str] = {}
 
     def add(left: str, right: str) -> None:
         if found.setdefault(left, right) != right:
             raise ValueError(f"two outputs for {left!r}: {found[left]!r} and {right!r}")
 
+    hidden = set(INVISIBLE)  # some have a visible compatibility form that no reader sees
     for first, last in COMPATIBLE:
         for cp in range(first, last + 1):
             c = chr(cp)
             plain = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", c))
-            if plain != c and unicodedata.normalize("NFD", c) == c and not plain.startswith(" "):
+            if cp not in hidden and plain != c and unicodedata.normalize("NFD", c) == c and not plain.startswith(" "):
                 add(c, plain)
     for cp in range(0x80, 0x3001):
         if unicodedata.category(chr(cp)) == "Zs":
             add(chr(cp), " ")
     for cp in INVISIBLE:
-        if found.get(chr(cp)) not in (None, ""):
-            del found[chr(cp)]
         add(chr(cp), "")
     alike = LOOK_ALIKES if look_alikes is None else look_alikes
     for left, right in alike.items():
@@ -120,24 +127,42 @@ def rules(look_alikes: dict[str, str] | None = None) -> dict[str, str]:
     return found
 
 
+def joins(symbols: dict[str, str]) -> dict[str, str]:
+    """Sequences of symbols that make one letter: every canonical composition, checked against the symbols."""
+    found: dict[str, str] = {}
+    for cp in (*range(0xC0, 0x3100), *range(0xAC00, 0xD7A4), *range(0xF900, 0xFFFE), *range(0x11000, 0x12000)):
+        c = chr(cp)
+        apart = unicodedata.normalize("NFD", c)
+        if len(apart) > 1 and unicodedata.normalize("NFC", apart) == c and not any(x in symbols for x in apart):
+            if found.setdefault(apart, c) != c:
+                raise ValueError(f"two outputs for {apart!r}")
+    for left, right in found.items():
+        if unicodedata.normalize("NFD", right) != left:
+            raise ValueError(f"{left!r} doesn't come back from {right!r}")
+    return found
+
+
 @lru_cache(maxsize=1)
 def _compiled() -> tuple[Transducer, dict[str, str]]:
-    return Transducer(rules()), {}
+    symbols = rules()
+    return Transducer(symbols, joins(symbols)), {}
 
 
+_HIDDEN = "[" + "".join(f"\\u{cp:04x}" for cp in INVISIBLE) + "]"
 _RUN = re.compile(r"[\x00-\x7f]?[^\x00-\x7f]+")
-_CLUSTER = regex.compile(r"\X")
+#: A grapheme cluster with the accents that follow it after invisible characters.
+_CLUSTER = regex.compile(rf"\X(?:{_HIDDEN}+\p{{M}}+)*")
+_HIDDEN_RUN = regex.compile(_HIDDEN)
 
 
 def _cluster(c: str) -> str:
     run, _ = _compiled()
     if ZWJ in c and _PICTURE.search(c):  # keep the joiners between two pictures
         c = regex.sub(rf"{ZWJ}(?!\p{{Extended_Pictographic}})|(?<![\p{{Extended_Pictographic}}\p{{Emoji_Modifier}}{VS16}]){ZWJ}", "", c)
-        parts = c.split(ZWJ)
-        return ZWJ.join(unicodedata.normalize("NFC", run(unicodedata.normalize("NFD", p))) for p in parts)
+        return ZWJ.join(run(unicodedata.normalize("NFD", p)) for p in c.split(ZWJ))
     if (ZWJ in c or ZWNJ in c) and _JOINING.search(c):
         return unicodedata.normalize("NFC", c)
-    return unicodedata.normalize("NFC", run(unicodedata.normalize("NFD", c)))
+    return run(unicodedata.normalize("NFD", _HIDDEN_RUN.sub("", c)))  # accents come in their one order
 
 
 def _run(m: re.Match) -> str:
@@ -147,19 +172,16 @@ def _run(m: re.Match) -> str:
         if (r := known.get(c)) is None:
             if len(known) > 200_000:
                 known.clear()
-            r = known[c] = _cluster(c)
+            r = _cluster(c)
+            if len(c) < 32:
+                known[c] = r
         out.append(r)
     return "".join(out)
 
 
 def skeleton(text: str | None) -> str | None:
     """The form in which look-alike texts are equal: look-alike letters become Latin."""
-    if text is None or text.isascii():
-        return text
-    s = _RUN.sub(_run, text)
-    if not s.isascii() and not unicodedata.is_normalized("NFC", s):  # an invisible character stood before an accent
-        s = _RUN.sub(_run, unicodedata.normalize("NFC", s))
-    return s
+    return text if text is None or text.isascii() else _RUN.sub(_run, text)
 
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
@@ -218,16 +240,42 @@ def _digest(c: Column) -> Column:
     return F.unhex(F.md5(c))
 
 
-def look_alike_pairs(df: DataFrame, id_col: str, text: str = "text") -> DataFrame:
-    """(id_a, id_b), id_a < id_b, of rows whose texts differ but have one consistent form.
+#: Rows of one spelling are paired in blocks of about so many.
+BLOCK = 1000
+
 
-    Rows meet on a digest of the form; classes with a single spelling are left before rows are
-    joined. Copies of one spelling are never paired. Rows without id or text have no pair.
+def look_alike_members(df: DataFrame, id_col: str, text: str = "text") -> DataFrame:
+    """(id, form, spelling, copies, links): every row whose form is written in several spellings.
+
+    form and spelling are digests; form names the class. copies: the rows of this spelling; links: the
+    rows of the class written otherwise, each of which looks the same as this row. Rows without id or
+    text are in no class; a repeated row counts once. Classes of one spelling are left before any join.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("t")).where("id IS NOT NULL AND t IS NOT NULL")
     rows = cut(spread(rows).select("id", _digest(skeleton_udf("t")).alias("form"), _digest(F.col("t")).alias("spelling")))
     several = rows.groupBy("form").agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).where("lo <> hi").select("form")
-    rows = cut(rows.join(several, "form", "left_semi"))
-    a, b = rows.alias("a"), rows.alias("b")
-    on = (F.col("a.form") == F.col("b.form")) & (F.col("a.spelling") != F.col("b.spelling")) & (F.col("a.id") < F.col("b.id"))
-    return a.join(b, on).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
+    rows = cut(rows.join(several, "form", "left_semi").distinct())
+    copies = rows.groupBy("form", "spelling").agg(F.count("*").alias("copies"))
+    whole = copies.groupBy("form").agg(F.sum("copies").alias("whole"))
+    counted = copies.join(whole, "form").withColumn("links", F.col("whole") - F.col("copies")).drop("whole")
+    return cut(lookup(rows, counted, ["form", "spelling"]).select("id", "form", "spelling", "copies", "links"))
+
+
+def look_alike_pairs(df: DataFrame, id_col: str, text: str = "text") -> DataFrame:
+    """(id_a, id_b), id_a < id_b, of rows whose texts differ but have one consistent form.
+
+    The spellings of a class are paired first, in blocks of about BLOCK rows, and the rows of two blocks
+    then meet, so a class of any size is spread over many tasks of at most about BLOCK * BLOCK pairs.
+    Copies of one spelling are never paired.
+    """
+    rows = look_alike_members(df, id_col, text)
+    parts = F.greatest(F.ceil(F.col("copies") / BLOCK), F.lit(1))
+    rows = rows.select("id", "form", "spelling", F.pmod(F.xxhash64("id"), parts).alias("block"))
+    blocks = rows.select("form", "spelling", "block").distinct()
+    named = lambda t, x: t.select("form", *[F.col(c).alias(c + x) for c in t.columns if c != "form"])
+    met = named(blocks, "_a").join(named(blocks, "_b"), "form").where("spelling_a < spelling_b")
+    one = met.join(named(rows, "_a"), ["form", "spelling_a", "block_a"])
+    both = one.join(named(rows, "_b"), ["form", "spelling_b", "block_b"]).where("id_a <> id_b")
+    pairs = both.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+    repeated = rows.groupBy("id").count().where("count > 1").take(1)  # an id of several texts could meet another twice
+    return pairs.distinct() if repeated else pairs
