@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.llm import languages, packing, personal_information, subjects, term_counts
-from tidemill.llm.capping import cap_contributors, shortcode, water_level
+from tidemill.llm.capping import cap_contributors, shortcode, water_fill
 from tidemill.llm.leakage import leaking_documents, leaks, words
 from tidemill.llm.packing import BestFit, fill, token_count
 from tidemill.llm.personal_information import find_personal, sanitise
@@ -35,8 +35,9 @@ def test_rules_are_checked():
         rules({"ｆ": "g"})
     with pytest.raises(ValueError):
         rules({"a": "b"})
-    t = Transducer({"ab": "1", "abc": "2", "b": "3"})
-    assert t("abcabdb") == "21d3"
+    t = Transducer({"x": "a", "_": "", "y": "ab"}, {"ab": "1", "abc": "2", "b": "3"})
+    assert t("abcabdb") == "21d3" and t("x_bcyc_") == "22"
+    assert skeleton("е​̣̂") == skeleton("ệ") == skeleton("ệ") == skeleton("ê­̣") == "ệ" and skeleton("한") == "한"
     r = random.Random(1)
     pool = "aе́‍👩🦰ｆﬁ 　кι🐕️"
     for _ in range(2000):
@@ -63,22 +64,30 @@ def test_pairs_against_brute_force(spark):
 
 
 # 2 capping
-def test_water_level():
-    assert water_level([500, 100, 50], 1000, 0.02) == 20
-    counts = [900, 500, 40] + [10] * 100
-    level = water_level(counts, sum(counts), 0.1, "output")
-    out = [min(c, level) for c in counts]
-    assert max(out) <= 0.1 * sum(out) and min(c for c in counts if c > level) and (level + 1) > 0.1 * sum(min(c, level + 1) for c in counts)
-    assert water_level([], 0, 0.1, "output") == 0 and water_level([5, 5], 10, 0.1, "output") == 0
+def test_water_fill():
+    fill_ = lambda counts, *a: water_fill(sorted(Counter(counts).items(), reverse=True), sum(counts), *a)
+    assert water_fill([(500, 1), (100, 1), (50, 1)], 1000, 0.02) == (20, 3) and water_fill([(500, 1), (100, 1), (5, 1)], 1000, 0.02, "input", 900) == (18, 2)
+    r = random.Random(5)
+    for _ in range(300):
+        counts = [r.choice([1, 5, 30, 30, r.randrange(1, 1000)]) for _ in range(r.randrange(1, 60))]
+        share = r.choice([0.02, 0.1, 0.3, 1.0])
+        level, k = fill_(counts, share, "output")
+        ok = lambda x: x <= share * sum(min(c, x) for c in counts) + 1e-9
+        assert level == max((x for x in range(max(counts) + 1) if ok(x)), default=0) or level >= max(counts) and ok(max(counts))
+        assert k == sum(c > level for c in counts) or level == 0
+    assert fill_([], 0.1, "output") == (0, 0) and fill_([5, 5], 0.1, "output")[0] == 0
+    assert water_fill([(9, 1)], 9, 1e-7, "input", 10_000_000) == (1, 1)
     with pytest.raises(ValueError):
-        water_level([1], 1, 0)
+        fill_([1], 0)
 
 
 def test_capping_against_brute_force(spark):
     r = random.Random(3)
     rows = [(i, r.choice(["A"] * 6 + ["B", "C", None, "D"]), r.choice([None, 0, 1, 5, 5, 90])) for i in range(400)]
     rows += [(None, "A", 7)]
-    df = spark.createDataFrame([(i, u and f"https://x.example/p/{u}/", n, 0) for i, u, n in rows], "quote_id bigint, post_url string, likes bigint, kept_before int")
+    df = spark.createDataFrame([(i, u and f"https://x.example/p/{u}/", n, 0, "x", 1, 2) for i, u, n in rows], "quote_id bigint, post_url string, likes bigint, id int, g string, score int, cut_score int")
+    twice = df.unionByName(df.where("quote_id % 3 = 0").withColumn("likes", F.lit(-1).cast("bigint")))  # copies of less worth
+    assert cap_contributors(twice, shortcode(F.col("post_url")), "quote_id", "likes", max_count=9).where("NOT kept").select("quote_id").distinct().count() == cap_contributors(df, shortcode(F.col("post_url")), "quote_id", "likes", max_count=9).where("NOT kept").count()
     got = {x.quote_id for x in cap_contributors(df, shortcode(F.col("post_url")), "quote_id", "likes", share=0.1).where("NOT kept").collect()}
     want = set()
     for u in "ABCD":
@@ -89,6 +98,8 @@ def test_capping_against_brute_force(spark):
     out = cap_contributors(df, shortcode(F.col("post_url")), "quote_id", "likes", share=0.3, basis="output").where("kept AND post_url IS NOT NULL AND quote_id IS NOT NULL")
     n = Counter(x.post_url for x in out.collect())
     assert max(n.values()) <= 0.3 * sum(n.values()) + 1
+    both = cap_contributors(df, shortcode(F.col("post_url")), "quote_id", "likes", share=0.5, max_count=3).where("NOT kept").count()
+    assert both == sum(max(0, sum(p == u and i is not None for i, p, _ in rows) - 3) for u in "ABCD")
     few = cap_contributors(df, shortcode(F.col("post_url")), "quote_id", "likes", max_count=3).where("kept AND post_url LIKE '%/A/' AND quote_id IS NOT NULL")
     assert few.count() == 3
 
@@ -199,11 +210,24 @@ def test_top_n_against_brute_force(spark):
     for g, i, s, _ in rows:
         if g is not None and i is not None:
             best[g, i] = max(best.get((g, i), -(1 << 63)), s or 0)
-    for n in (1, 6):
-        want = set()
+    import tidemill.llm.top_n as tn
+
+    def want(n, fits=lambda s, i: True):
+        out = set()
         for g in {g for g, _ in best}:
-            want |= {(g, i, s) for s, i in sorted(((s, i) for (h, i), s in best.items() if h == g), key=lambda x: (-x[0], x[1]))[:n]}
-        assert set(map(tuple, top_n(df, "theme", "id", "score", n).collect())) == want
+            out |= {(g, i, s) for s, i in sorted(((s, i) for (h, i), s in best.items() if h == g and fits(s, i)), key=lambda x: (-x[0], x[1]))[:n]}
+        return out
+
+    narrow = lambda s, i: -10 < s < 10 and abs(i) < 1000
+    less = spark.createDataFrame([(g, i, s) for (g, i), s in best.items() if narrow(s, i)], "theme string, id bigint, score bigint")
+    few = tn.BROADCAST_GROUPS, tn.HOT_GROUPS
+    try:
+        for tn.BROADCAST_GROUPS, tn.HOT_GROUPS in (few, (0, 2), (0, 1000)):  # all sent; a hot group apart; every group hot
+            for n in (1, 6):
+                assert set(map(tuple, top_n(df, "theme", "id", "score", n).collect())) == want(n)
+                assert set(map(tuple, top_n(less, "theme", "id", "score", n).collect())) == want(n, narrow)
+    finally:
+        tn.BROADCAST_GROUPS, tn.HOT_GROUPS = few
     assert top_n(df.limit(0), "theme", "id", "score", 3).count() == 0
     with pytest.raises(ValueError):
         top_n(df, "theme", "id", "score", 0)

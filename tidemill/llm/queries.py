@@ -16,7 +16,7 @@ from tidemill.llm.subjects import SHARE, subject_shares
 from tidemill.llm.subjects import fit as fit_subjects
 from tidemill.llm.term_counts import term_counts
 from tidemill.llm.top_n import top_n
-from tidemill.llm.uniform_text import look_alike_pairs, uniform_text
+from tidemill.llm.uniform_text import look_alike_members, look_alike_pairs, uniform_text
 from tidemill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,13 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return look_alike_pairs(table(spark, root, "quotes"), "quote_id").select(F.col("id_a").alias("quote_id_a"), F.col("id_b").alias("quote_id_b"))
 
 
+@query()
+def p1_classes(spark: SparkSession, root: str) -> DataFrame:
+    """Every quote that others look like, with its class, the copies of its spelling and its links to other spellings."""
+    rows = look_alike_members(table(spark, root, "quotes"), "quote_id")
+    return rows.select(F.col("id").alias("quote_id"), F.lower(F.hex("form")).alias("class"), "copies", "links")
+
+
 @query()
 def p1_uniform_text(spark: SparkSession, root: str) -> DataFrame:
     """Every quote in its one consistent form."""
@@ -61,7 +68,16 @@ def p2_found(spark: SparkSession, root: str) -> DataFrame:
     return cap_contributors(quotes, shortcode(F.col("post_url")), "quote_id", "likes", share=0.02).where("NOT kept").select("quote_id")
 
 
-@query()
+@query(
+    f"""
+    WITH q AS (SELECT quote_id, {_SHORTCODE} AS post, coalesce(likes, 0) AS likes FROM quotes), o AS (SELECT * FROM q WHERE post IS NOT NULL),
+    c AS (SELECT post, count(*) AS n FROM o GROUP BY post), k AS (SELECT n, row_number() OVER (ORDER BY n DESC, post) - 1 AS k, (SELECT count(*) FROM o) AS total FROM c UNION ALL SELECT 0, (SELECT count(*) FROM c), (SELECT count(*) FROM o)),
+    r AS (SELECT *, total - coalesce(sum(n) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM k),
+    l AS (SELECT coalesce((SELECT CAST(rest // (50 - k) AS BIGINT) FROM r WHERE k < 50 AND n <= rest // (50 - k) ORDER BY k LIMIT 1), 0) AS level),
+    b AS (SELECT quote_id, row_number() OVER (PARTITION BY post ORDER BY likes DESC, quote_id) AS rn FROM o)
+    SELECT quote_id FROM b WHERE rn <= (SELECT level FROM l) UNION ALL SELECT quote_id FROM q WHERE post IS NULL
+    """
+)
 def p2_share_of_output(spark: SparkSession, root: str) -> DataFrame:
     """Quotes kept when no post may hold more than a fiftieth of what is kept."""
     quotes = table(spark, root, "quotes").select("quote_id", "likes", "post_url")
