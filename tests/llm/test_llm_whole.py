@@ -1,5 +1,8 @@
 """The whole collection takes part, and repeated rows have a defined result."""
 
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemill.llm import subjects
@@ -9,23 +12,56 @@ from tidemill.llm.leakage import leaking_documents, leaks
 def test_subjects_train_on_every_judged_sentence(spark, monkeypatch):
     n = 21_000
     spell = F.translate(F.format_string("%05d", "id"), "0123456789", "abcdefghij")
-    docs = spark.range(n).select(F.concat(F.lit("It was a quiet "), spell, F.lit(". Many people said hello to "), spell, F.lit(".")).alias("text"))
+    docs = spark.range(n).select(F.concat(F.lit("It was a quiet "), spell, F.lit(". Many people said hello to "), spell, F.lit(". Indeed.")).alias("text"))
     samples = spark.createDataFrame([("the judge upheld the clause", "law"), ("the team won the race", "sport")], "text string, subject string")
     trained = []
 
-    def train(rows, model, **_):
-        trained.append(rows.count())
+    def train(blocks, model, parts=1, **_):
+        if isinstance(blocks, list):
+            trained.append(sum(len(b[4]) // 4 for b in blocks))
+            return model
+        sizes = {r.part: r.n for r in blocks.groupBy("part").agg(F.sum(F.length("lengths") / 4).alias("n")).collect()}
+        assert len(sizes) == parts and max(sizes.values()) - min(sizes.values()) <= 8
+        trained.append(sum(sizes.values()))
         return model
 
     monkeypatch.setattr(subjects, "train", train)
     subjects.fit(samples, docs, ["law", "sport"])
-    assert trained == [2, 2 * n + 2]
+    assert trained == [2, 2 * n + 1 + 2]
 
 
 def test_company_counts_documents_of_two_sentences(spark):
-    docs = spark.createDataFrame([("The judge upheld it. She smiled.",), ("One alone.",)], "text string")
-    uses = {r.wording: r.n for r in subjects.company(docs, subjects.Model.fresh(["law", "sport"])).collect()}
-    assert uses["judge"] == uses["she smiled"] == 1 and "alone" not in uses
+    docs = spark.createDataFrame([("The judge upheld it. She smiled. She smiled.",), ("One alone.",)], "text string")
+    uses = {r.wording: r.n for r in subjects.company(subjects.parsed(docs, None), subjects.Model.fresh(["law", "sport"])).collect()}
+    assert uses == {"the": 1, "judge": 1, "upheld": 1, "it": 1, "the judge": 1, "judge upheld": 1, "upheld it": 1, "she": 2, "smiled": 2, "she smiled": 2}
+
+
+def test_judged_alike_however_marks_travel(spark, monkeypatch):
+    r = random.Random(3)
+    word = lambda: r.choice("abcdefghij") * r.randrange(1, 4)
+    docs = spark.createDataFrame([("\n".join(" ".join(word() for _ in range(r.randrange(1, 9))) for _ in range(5)),) for _ in range(200)], "said string")
+    wordings = {x for _ in range(60) for x in (word(), f"{word()} {word()}")}
+    marks = spark.createDataFrame([(x, *(r.choice([0, 0, 1]) for _ in range(3)), r.choice([0, 0, 1])) for x in sorted(wordings)], "wording string, own_0 int, own_1 int, own_2 int, some int")
+    found = []
+    for most in (1000, 0):
+        monkeypatch.setattr(subjects, "MAX_SENT_WORDINGS", most)
+        found.append({(x.words, tuple(x.targets)) for x in subjects.judged(docs, marks, 3).collect()})
+    assert found[0] == found[1] and len(found[0]) > 100
+
+
+def test_words_are_told_by_all_their_letters():
+    a, b = "x" * 50 + "a", "x" * 50 + "b"
+    w = subjects.Words([f"{a} {b} {a}\nq", "", f"{b}"])
+    assert w.word[0] == w.word[2] != w.word[1] == w.word[4] and w.doc.tolist() == [0, 0, 2] and w.first.tolist() == [0, 3, 4]
+    assert [w.string(i) for i in range(5)] == [a, b, a, "q", b] and w.sentences(np.array([1, 2])) == ["q", b]
+    assert subjects.word_buckets(a) != subjects.word_buckets(b)
+
+
+def test_samples_are_bounded_by_class(spark, monkeypatch):
+    monkeypatch.setattr(subjects, "MAX_SAMPLES", 4)
+    samples = spark.createDataFrame([(f"text {'abcdefgh'[k]} here", s) for s in ("law", "sport") for k in range(6)] + [("x y", "other"), (None, "law")], "text string, subject string")
+    rows = subjects.sample_rows(samples, ["law", "sport"], "text", "subject")
+    assert sorted(t for _, t in rows) == [[0.0, 1.0]] * 2 + [[1.0, 0.0]] * 2
 
 
 def test_leaks_of_repeated_items(spark):

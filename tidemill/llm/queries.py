@@ -12,11 +12,12 @@ from tidemill.llm.languages import fit, language_segments
 from tidemill.llm.leakage import leaking_documents, leaks
 from tidemill.llm.packing import fill, token_counts
 from tidemill.llm.personal_information import find_personal, sanitise
-from tidemill.llm.subjects import SHARE, subject_shares
+from tidemill.llm.subjects import MAX_SUBJECTS, SHARE, parsed, subject_shares
 from tidemill.llm.subjects import fit as fit_subjects
 from tidemill.llm.term_counts import term_counts
 from tidemill.llm.top_n import top_n
 from tidemill.llm.uniform_text import look_alike_members, look_alike_pairs, uniform_text
+from tidemill.session import cut
 from tidemill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,9 +177,10 @@ def p5_sanitised(spark: SparkSession, root: str) -> DataFrame:
 
 def _subject_shares(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents").select("doc_id", "text")
-    names = sorted(r.subject for r in table(spark, root, "subject_areas").select("subject").dropna().distinct().limit(1000).collect())
-    model = fit_subjects(table(spark, root, "subject_samples"), docs, names)
-    return subject_shares(docs, model, "doc_id")
+    names = sorted(r.subject for r in table(spark, root, "subject_areas").select("subject").dropna().distinct().limit(MAX_SUBJECTS + 1).collect())
+    said = cut(parsed(docs, "doc_id"))
+    model = fit_subjects(table(spark, root, "subject_samples"), docs, names, said=said)
+    return subject_shares(docs, model, "doc_id", said=said)
 
 
 @query()
