@@ -3,10 +3,16 @@
 Text is reduced to words without regard to case, punctuation, white space, markup, look-alike or
 invisible characters. An item counts as leaked where a document holds `window` consecutive words of
 it. Every window of an item is the set of its window - SHINGLE + 1 word shingles; as all of them
-must be present, one is a sufficient prefix, and the rarest in the corpus is taken. Documents and
-windows meet on it; the positions of the two fix where the window would have to begin (positional
-bound), documents without `window` successive item words never take part (length bound), and a
-candidate stands only if all its shingles stand at their places (exact containment).
+must be present, one is a sufficient prefix. Shingles are ordered by their rarity among all items, ties
+by hash, and a window's prefix is its first in that order, so neighbouring windows mostly share theirs
+and a line that opens many items is avoided.
+
+The prefixes are known before documents are read. Tasks get a filter of their hashes (at most
+FILTER_BITS bits, whatever the items) and pass on only the places of documents where a prefix may stand,
+with the words around it that a window could cover. A place and a window meet on the prefix, which fixes
+where in the document the window would begin (positional bound; windows that would begin before the
+document or end after it, or in a document shorter than `window` words, are out: length bound), and the
+pair stands only if all words of the window are there (exact containment).
 """
 
 from __future__ import annotations
@@ -16,18 +22,23 @@ import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.uniform_text import skeleton
+from tidemill.llm.word_arrays import CHUNK, Words
 from tidemill.session import cut, small_enough, spread
 
 SHINGLE = 5
-#: Up to so many item shingles (about 40 bytes each) are sent to the tasks that read documents;
-#: beyond that, all document shingles are shuffled to them.
-MAX_SENT_SHINGLES = 400_000
+#: The filter has 16 bits a prefix, at most so many in all (16 MB); fuller filters let more places pass.
+FILTER_BITS = 1 << 27
+#: Up to so many windows (about 200 bytes each) are sent to the tasks that verify; beyond that they are joined.
+SENT_WINDOWS = 100_000
+#: Parts into which the places of one prefix are dealt when windows are joined.
+SALT = 16
 
 _BREAK_TAG = re.compile(r"</?(?:br|p|div|li|ul|ol|h[1-6]|tr|td|th|table|blockquote|hr)\b[^<>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>|<!--.*?-->", re.S)
@@ -50,43 +61,91 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(_QUOTES.sub("", s).lower())
 
 
+def shingles(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of every shingle; a text is one sentence of w."""
+    n = len(w.word) - SHINGLE + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    at = np.flatnonzero(w.sentence[:n] == w.sentence[SHINGLE - 1 :])
+    with np.errstate(over="ignore"):
+        h = np.zeros(len(at), np.uint64)
+        for k in range(SHINGLE):
+            h = (h ^ w.word[at + k]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+    return at, h
+
+
+def _signed(h: np.ndarray) -> np.ndarray:
+    return h.astype(np.uint64).view(np.int64)
+
+
 def _windows(window: int):
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for item, text in zip(b["item"], b["text"]):
-                w = words(text)
-                of = hashlib.blake2b(" ".join(w).encode(), digest_size=16).hexdigest()
-                for i in range(len(w) - window + 1):
-                    out.append((item, of, i, [" ".join(w[j : j + SHINGLE]) for j in range(i, i + window - SHINGLE + 1)]))
-            yield pd.DataFrame(out, columns=["item", "of", "at", "shingles"])
+                said = words(text)
+                whole = " ".join(said)
+                of = hashlib.blake2b(whole.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+                _, h = shingles(Words([whole]))
+                h = _signed(h).tolist()
+                for i in range(len(said) - window + 1):
+                    out.append((item, of, i, " ".join(said[i : i + window]), h[i : i + window - SHINGLE + 1]))
+            yield pd.DataFrame(out, columns=["item", "of", "at", "said", "shingles"])
 
     return f
 
 
-def _hits(window: int, known: set[str] | None):
-    vocabulary = None if known is None else {w for s in known for w in s.split(" ")}
+def prefixes(items: DataFrame, item_type: str, window: int) -> DataFrame:
+    """(item, of, at, said, off, h): every window of every item with the place and hash of its prefix."""
+    windows = cut(items.mapInPandas(_windows(window), f"item {item_type}, of string, at int, said string, shingles array<bigint>").dropDuplicates(["item", "of", "at"]))
+    parts = windows.select("item", "of", "at", F.posexplode("shingles").alias("off", "h"))
+    rarity = parts.select("item", "of", (F.col("at") + F.col("off")).alias("place"), "h").distinct().groupBy("h").agg(F.count("*").alias("n"))
+    first = parts.join(rarity, "h").groupBy("item", "of", "at").agg(F.min(F.struct("n", "h", "off")).alias("p"))
+    return cut(windows.drop("shingles").join(first, ["item", "of", "at"]).select("item", "of", "at", "said", "p.off", "p.h"))
+
+
+def hash_filter(hashes: DataFrame) -> np.ndarray:
+    """A bit table of column h, two bits a hash; its number of bits is a power of two, at most FILTER_BITS."""
+    n = hashes.count()
+    bits = min(FILTER_BITS, 1 << max(12, (16 * n).bit_length()))
+    places = hashes.select(F.explode(F.array(*[F.shiftrightunsigned("h", k).bitwiseAND(F.lit(bits - 1)) for k in (0, 32)])).alias("b"))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("b").bitwiseAND(F.lit(63)).cast("int"))
+    got = places.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(one).alias("x")).toPandas()  # at most FILTER_BITS / 64 rows
+    table = np.zeros(bits // 64, np.int64)
+    table[got["w"].to_numpy()] = got["x"].to_numpy()
+    return table.view(np.uint64)
+
+
+def passing(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes the filter lets pass: all that are in it, and few others."""
+    mask, out = np.uint64(len(table) * 64 - 1), np.ones(len(h), bool)
+    for k in (0, 32):
+        b = (h >> np.uint64(k)) & mask
+        out &= ((table[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1)).astype(bool)
+    return out
+
+
+def _places(window: int, sent):
+    reach = window - SHINGLE
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = sent.value
         for b in batches:
-            docs, places, shingles = [], [], []
-            for doc, text in zip(b["doc"], b["text"]):
-                w = words(text)
-                n, i = len(w), 0
-                while i < n:  # runs of item words
-                    if vocabulary is not None and w[i] not in vocabulary:
-                        i += 1
-                        continue
-                    j = n if vocabulary is None else i + 1
-                    while j < n and w[j] in vocabulary:
-                        j += 1
-                    if j - i >= window:
-                        for k in range(i, j - SHINGLE + 1):
-                            s = " ".join(w[k : k + SHINGLE])
-                            if known is None or s in known:
-                                docs.append(doc), places.append(k), shingles.append(s)
-                    i = j
-            yield pd.DataFrame(list(zip(docs, places, shingles)), columns=["doc", "pos", "shingle"])
+            said = [" ".join(words(t)) for t in b["text"]]
+            sizes = np.cumsum([len(x) for x in said]) // CHUNK
+            for k in np.unique(sizes):
+                own = np.flatnonzero(sizes == k)
+                w = Words([said[i] for i in own])
+                at, h = shingles(w)
+                use = passing(table, h)
+                at, h = at[use], h[use]
+                text = w.sentence[at]
+                first, end = w.first[text], np.r_[w.first[1:], len(w.word)][text]
+                a, z = np.maximum(first, at - reach), np.minimum(end, at + window)
+                around = [w.text[x:y] for x, y in zip(w.start[a].tolist(), w.end[z - 1].tolist())]
+                doc = b["doc"].to_numpy()[own[w.doc[text]]] if len(at) else b["doc"].to_numpy()[:0]
+                yield pd.DataFrame({"doc": doc, "pos": (at - first).astype(np.int32), "h": _signed(h), "lead": (at - a).astype(np.int32), "around": pd.Series(around, dtype=object)})
 
     return f
 
@@ -102,26 +161,18 @@ def leaked_windows(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str,
     docs = spread(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL AND text IS NOT NULL"))
     items = items.select(F.col(item_id).alias("item"), F.col(text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
     doc_type, item_type = docs.schema["doc"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
-    windows = cut(items.mapInPandas(_windows(window), f"item {item_type}, of string, at int, shingles array<string>").dropDuplicates(["item", "of", "at"]))
-    wanted = windows.select(F.explode("shingles").alias("shingle")).distinct()
-    schema = f"doc {doc_type}, pos int, shingle string"
-    if small_enough(wanted, MAX_SENT_SHINGLES):
-        hits = cut(docs.mapInPandas(_hits(window, {r.shingle for r in wanted.toLocalIterator()}), schema))
+    prefix = prefixes(items, item_type, window)
+    sent = docs.sparkSession.sparkContext.broadcast(hash_filter(prefix.select("h").distinct()))  # at most FILTER_BITS
+    places = docs.mapInPandas(_places(window, sent), f"doc {doc_type}, pos int, h bigint, lead int, around string")
+    wanted = prefix.select("item", "of", "at", "off", "h", "said")
+    if small_enough(wanted, SENT_WINDOWS):
+        met = places.join(F.broadcast(wanted), "h")
     else:
-        hits = cut(docs.mapInPandas(_hits(window, None), schema).join(wanted, "shingle", "left_semi").select("doc", "pos", "shingle"))
-    rarity = hits.groupBy("shingle").agg(F.count("*").alias("n"))
-    parts = windows.select("item", "of", "at", "shingles", F.posexplode("shingles").alias("off", "shingle")).join(rarity, "shingle")
-    prefix = (
-        parts.groupBy("item", "of", "at")
-        .agg(F.count("*").alias("present"), F.first("shingles").alias("shingles"), F.min(F.struct("n", "off", "shingle")).alias("p"))
-        .where("present = size(shingles)")
-        .select("item", "of", "at", "shingles", "p.off", "p.shingle")
-    )
-    found = hits.join(prefix, "shingle").where("pos >= off").select("doc", "item", (F.col("pos") - F.col("off")).alias("begin"), "of", "at", "shingles")
-    every = found.select("doc", "item", "begin", "of", "at", F.size("shingles").alias("size"), F.posexplode("shingles").alias("off", "shingle"))
-    every = every.withColumn("pos", F.col("begin") + F.col("off")).join(hits.distinct(), ["doc", "pos", "shingle"], "left_semi")
-    whole = every.groupBy("doc", "item", "begin", "of", "at").agg(F.count_distinct("off").alias("held"), F.first("size").alias("size")).where("held = size")
-    return whole.select("doc", "item", F.col("begin").alias("pos"), "of", "at")
+        dealt = places.withColumn("salt", F.pmod(F.xxhash64("doc", "pos"), F.lit(SALT)))
+        met = dealt.join(wanted.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALT - 1).cast("bigint")))), ["h", "salt"])
+    begin = F.col("lead") - F.col("off")
+    held = F.array_join(F.slice(F.split("around", " "), F.greatest(begin, F.lit(0)) + 1, window), " ")
+    return met.where((begin >= 0) & (held == F.col("said"))).select("doc", "item", (F.col("pos") - F.col("off")).alias("pos"), "of", "at").distinct()
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str = "text", window: int = 10) -> DataFrame:

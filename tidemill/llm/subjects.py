@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.uniform_text import uniform
+from tidemill.llm.word_arrays import Words, chunks
 from tidemill.operators.ranking import top_k
 from tidemill.operators.skew import lookup
 from tidemill.session import cut, removed, small_enough, spread, written
@@ -54,8 +55,6 @@ LEAST_USES, SMOOTHING = 15, 15.0
 BELONGS, NEUTRAL = (0.15, 0.5), (0.1, 0.4)
 #: Up to so many judged wordings (about 100 bytes each) are sent to tasks; beyond that they are joined.
 MAX_SENT_WORDINGS = 200_000
-#: Arrays are made over about so many characters at a time.
-CHUNK = 3_000_000
 
 _LEAD = regex.compile(r"^\s*(?:@[\p{L}\p{N}_.]+\s*:|[-*>•]+|#{1,6}\s)\s*")
 _HEADING = regex.compile(r"^\s*#{1,6}\s|^\s*(?:#\w+\s*)+$")
@@ -91,60 +90,6 @@ def parsed(docs: DataFrame, doc_id: str | None, text: str = "text") -> DataFrame
     return spread(rows).mapInPandas(f, f"doc {rows.schema['doc'].dataType.simpleString()}, said string")
 
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Words:
-    """The words of parsed texts as arrays.
-
-    start, end: places in text; word: hashes; pair: hashes of a word and the next of its sentence, 0 for
-    a sentence's last; first: the first word of each sentence; sentence: each word's sentence; doc: each
-    sentence's text.
-    """
-
-    def __init__(self, said: list[str]):
-        self.text = "\x02".join(said)
-        c = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        letter = np.r_[False, c > 32, False]
-        edge = np.diff(letter.astype(np.int8))
-        self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        with np.errstate(over="ignore"):
-            power = np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(c), _ODD)])
-            back = np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(c), _BACK)])
-            sums = np.r_[np.uint64(0), np.cumsum(_mixed(c.astype(np.uint64)) * power[:-1], dtype=np.uint64)]
-            self.word = _mixed((sums[self.end] - sums[self.start]) * back[self.start])
-            line = np.cumsum((c == 10) | (c == 2))[self.start] if len(self.start) else np.zeros(0, int)
-            fresh = np.r_[True, np.diff(line) != 0][: len(line)]
-            self.first = np.flatnonzero(fresh)
-            self.sentence = np.cumsum(fresh) - 1
-            last = np.r_[fresh[1:], True][: len(line)]
-            self.pair = np.where(last, np.uint64(0), _mixed(self.word * np.uint64(3) + np.r_[self.word[1:], np.uint64(0)][: len(line)]) | np.uint64(1))
-        self.last = last
-        self.doc = np.cumsum(c == 2)[self.start[self.first]] if len(self.first) else np.zeros(0, int)
-
-    def string(self, i: int) -> str:
-        return self.text[self.start[i] : self.end[i]]
-
-    def sentences(self, chosen: np.ndarray) -> list[str]:
-        ends = self.end[np.r_[self.first[1:], len(self.start)] - 1]
-        return [self.text[a:b] for a, b in zip(self.start[self.first][chosen].tolist(), ends[chosen].tolist())]
-
-
-def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, Words]]:
-    """Batches cut so that each has about CHUNK characters, with their words."""
-    for b in batches:
-        sizes = np.cumsum(b["said"].str.len().to_numpy()) // CHUNK
-        for _, part in b.groupby(sizes, sort=False):
-            yield part, Words(part["said"].tolist())
-
-
 def _bucket(s: str) -> int:
     return zlib.crc32(s.encode("utf-8", "surrogatepass")) % BUCKETS
 
