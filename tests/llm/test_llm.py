@@ -299,12 +299,14 @@ def test_leaks_against_brute_force(spark):
     assert got == want and want
     import tidemill.llm.leakage as lk
 
-    most = lk.SENT_WINDOWS, lk.FILTER_BITS
-    lk.SENT_WINDOWS, lk.FILTER_BITS = 0, 1 << 12  # the way for many items, with a filter too small for them
+    from tidemill.llm import word_arrays as wa
+
+    most = lk.SENT_WINDOWS, wa.FILTER_BITS
+    lk.SENT_WINDOWS, wa.FILTER_BITS = 0, 1 << 12  # the way for many items, with a filter too small for them
     try:
         assert set(map(tuple, leaking_documents(dd, ii, "doc_id", "item_id").collect())) == want
     finally:
-        lk.SENT_WINDOWS, lk.FILTER_BITS = most
+        lk.SENT_WINDOWS, wa.FILTER_BITS = most
     assert {(x.doc_id, x.item_id) for x in leaks(dd, ii, "doc_id", "item_id").where("item_words >= 10 AND windows >= 1").collect()} == want
     assert leaking_documents(dd.limit(0), ii, "doc_id", "item_id").count() == 0
 

@@ -8,7 +8,7 @@ by hash, and a window's prefix is its first in that order, so neighbouring windo
 and a line that opens many items is avoided.
 
 The prefixes are known before documents are read. Tasks get a filter of their hashes (at most
-FILTER_BITS bits, whatever the items) and pass on only the places of documents where a prefix may stand,
+word_arrays.FILTER_BITS bits, whatever the items) and pass on only the places of documents where a prefix may stand,
 with the words around it that a window could cover. A place and a window meet on the prefix, which fixes
 where in the document the window would begin (positional bound; windows that would begin before the
 document or end after it, or in a document shorter than `window` words, are out: length bound), and the
@@ -29,12 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.uniform_text import skeleton
-from tidemill.llm.word_arrays import CHUNK, Words
+from tidemill.llm.word_arrays import CHUNK, Words, hash_filter, passing, signed
 from tidemill.session import cut, small_enough, spread
 
 SHINGLE = 5
-#: The filter has 16 bits a prefix, at most so many in all (16 MB); fuller filters let more places pass.
-FILTER_BITS = 1 << 27
 #: Up to so many windows (about 200 bytes each) are sent to the tasks that verify; beyond that they are joined.
 SENT_WINDOWS = 100_000
 #: Parts into which the places of one prefix are dealt when windows are joined.
@@ -75,10 +73,6 @@ def shingles(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return at, h
 
 
-def _signed(h: np.ndarray) -> np.ndarray:
-    return h.astype(np.uint64).view(np.int64)
-
-
 def _windows(window: int):
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -88,7 +82,7 @@ def _windows(window: int):
                 whole = " ".join(said)
                 of = hashlib.blake2b(whole.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
                 _, h = shingles(Words([whole]))
-                h = _signed(h).tolist()
+                h = signed(h).tolist()
                 for i in range(len(said) - window + 1):
                     out.append((item, of, i, " ".join(said[i : i + window]), h[i : i + window - SHINGLE + 1]))
             yield pd.DataFrame(out, columns=["item", "of", "at", "said", "shingles"])
@@ -105,27 +99,6 @@ def prefixes(items: DataFrame, item_type: str, window: int) -> DataFrame:
     return cut(windows.drop("shingles").join(first, ["item", "of", "at"]).select("item", "of", "at", "said", "p.off", "p.h"))
 
 
-def hash_filter(hashes: DataFrame) -> np.ndarray:
-    """A bit table of column h, two bits a hash; its number of bits is a power of two, at most FILTER_BITS."""
-    n = hashes.count()
-    bits = min(FILTER_BITS, 1 << max(12, (16 * n).bit_length()))
-    places = hashes.select(F.explode(F.array(*[F.shiftrightunsigned("h", k).bitwiseAND(F.lit(bits - 1)) for k in (0, 32)])).alias("b"))
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("b").bitwiseAND(F.lit(63)).cast("int"))
-    got = places.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(one).alias("x")).toPandas()  # at most FILTER_BITS / 64 rows
-    table = np.zeros(bits // 64, np.int64)
-    table[got["w"].to_numpy()] = got["x"].to_numpy()
-    return table.view(np.uint64)
-
-
-def passing(table: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Which hashes the filter lets pass: all that are in it, and few others."""
-    mask, out = np.uint64(len(table) * 64 - 1), np.ones(len(h), bool)
-    for k in (0, 32):
-        b = (h >> np.uint64(k)) & mask
-        out &= ((table[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1)).astype(bool)
-    return out
-
-
 def _places(window: int, sent):
     reach = window - SHINGLE
 
@@ -145,7 +118,7 @@ def _places(window: int, sent):
                 a, z = np.maximum(first, at - reach), np.minimum(end, at + window)
                 around = [w.text[x:y] for x, y in zip(w.start[a].tolist(), w.end[z - 1].tolist())]
                 doc = b["doc"].to_numpy()[own[w.doc[text]]] if len(at) else b["doc"].to_numpy()[:0]
-                yield pd.DataFrame({"doc": doc, "pos": (at - first).astype(np.int32), "h": _signed(h), "lead": (at - a).astype(np.int32), "around": pd.Series(around, dtype=object)})
+                yield pd.DataFrame({"doc": doc, "pos": (at - first).astype(np.int32), "h": signed(h), "lead": (at - a).astype(np.int32), "around": pd.Series(around, dtype=object)})
 
     return f
 

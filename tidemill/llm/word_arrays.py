@@ -6,9 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Arrays are made over about so many characters at a time.
 CHUNK = 3_000_000
+#: A filter has 16 bits a hash, at most so many in all (16 MB); fuller filters let more hashes pass.
+FILTER_BITS = 1 << 27
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -62,3 +66,28 @@ def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, Word
         sizes = np.cumsum(b["said"].str.len().to_numpy()) // CHUNK
         for _, part in b.groupby(sizes, sort=False):
             yield part, Words(part["said"].tolist())
+
+
+def signed(h: np.ndarray) -> np.ndarray:
+    return h.astype(np.uint64).view(np.int64)
+
+
+def hash_filter(hashes: DataFrame) -> np.ndarray:
+    """A bit table of column h, two bits a hash; its number of bits is a power of two, at most FILTER_BITS."""
+    n = hashes.count()
+    bits = min(FILTER_BITS, 1 << max(12, (16 * n).bit_length()))
+    places = hashes.select(F.explode(F.array(*[F.shiftrightunsigned("h", k).bitwiseAND(F.lit(bits - 1)) for k in (0, 32)])).alias("b"))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("b").bitwiseAND(F.lit(63)).cast("int"))
+    got = places.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(one).alias("x")).toPandas()  # at most FILTER_BITS / 64 rows
+    table = np.zeros(bits // 64, np.int64)
+    table[got["w"].to_numpy()] = got["x"].to_numpy()
+    return table.view(np.uint64)
+
+
+def passing(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes the filter lets pass: all that are in it, and few others."""
+    mask, out = np.uint64(len(table) * 64 - 1), np.ones(len(h), bool)
+    for k in (0, 32):
+        b = (h >> np.uint64(k)) & mask
+        out &= ((table[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1)).astype(bool)
+    return out
