@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemill.llm import subjects
+from tidemill.llm import languages, subjects
 from tidemill.llm.leakage import leaking_documents, leaks
 
 
@@ -70,3 +70,21 @@ def test_leaks_of_repeated_items(spark):
     items = spark.createDataFrame([(7, a), (7, a), (8, a), (8, b)], "item_id bigint, text string")
     assert sorted(map(tuple, leaking_documents(docs, items, "doc_id", "item_id").collect())) == [(1, 7), (1, 8), (2, 8), (3, 7), (3, 8)]
     assert sorted(map(tuple, leaks(docs, items, "doc_id", "item_id").collect())) == [(1, 7, 3, 12), (1, 8, 3, 12), (2, 8, 3, 12), (3, 7, 3, 12), (3, 8, 6, 24)]
+
+
+def test_cosines_are_those_of_the_bundles():
+    r = random.Random(1)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.choice([1, 3, 8, 60])))
+    p = languages.fit_samples([(" ".join(word() for _ in range(40)), k) for k in "xyz" for _ in range(5)])
+    said = [[word() for _ in range(n)] for n in (1, 2, 30, 7)]
+    starts = np.r_[0, np.cumsum([len(s) for s in said])[:-1]]
+    for most in (languages.BUNDLE, 3):
+        languages.BUNDLE, before = most, languages.BUNDLE
+        got, _ = p.cosines(p.rows([w for s in said for w in s]), starts)
+        languages.BUNDLE = before
+        for s, c in zip(said, got):
+            v = np.sum([p.space.gram(g).astype(int) for w in s for g in languages.grams(w)], axis=0)
+            assert np.abs(p.matrix @ v / np.linalg.norm(v) - c).max() < 0.12 * np.abs(c).max() + 1e-3
+    a, b = "q" * 45 + "a", "q" * 45 + "b"
+    assert languages.grams(a) != languages.grams(b)
+    assert languages._may_change(np.array([1.0, -5, 2, 3, -1, 4, -9, 1]), np.array([0, 3, 6]), np.array([0, 0, 0, 1, 1, 1, 2, 2])).tolist() == [2, 6, 1]

@@ -1,16 +1,18 @@
 """The language of each document and of each segment of a mixed one, by hyperdimensional profiles.
 
 Every letter has a random vector of +1 and -1. An n-gram is bound by multiplying its letters' vectors,
-each rolled by the letter's place; a word is the bundle (sum) of its n-grams, and a language's prototype the
-bundle of the n-grams seen in it, each weighted by how much it is that language's own, so that names,
-which stand in every language, count for none. A text is compared with the prototypes by
-cosine. As the cosine's numerator is a sum over words, a word's similarities are computed once per
-task and remembered, and segments are the best path over the words of a text: it costs much to change
-language within a clause and less between clauses.
+each rolled by the letter's place; a text, or a segment of one, is the bundle (sum) of its words' n-grams,
+and a language's prototype the bundle of the n-grams seen in it, each weighted by how much it is that
+language's own, so that names, which stand in every language, count for none. A bundle is compared with
+the prototypes by cosine. Its product with a prototype is a sum over its words, so words are multiplied
+once and remembered; its length is taken from the bundle itself, on LENGTH_DIMENSIONS of its coordinates,
+which are alike as letters are random. Segments are the best path over the words of a text: it costs much
+to change language within a clause and less between clauses; each is then given the language of the
+nearest prototype.
 
 Profiles are fitted in two steps: on labelled samples (at most MAX_SAMPLES rows), then on the n-grams of
-the clauses that the profiles are sure of in at most REFINE_ROWS labelled rows of the collection. Every
-row is then segmented.
+the clauses that the profiles are sure of in at most REFINE_ROWS labelled rows of the collection, where
+n-grams seen less than LEAST_SEEN times are left out. Every row is then segmented.
 """
 
 from __future__ import annotations
@@ -28,9 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.uniform_text import uniform
+from tidemill.operators.ranking import top_k
 from tidemill.session import cut, spread
 
-DIMENSIONS = 8192
+DIMENSIONS, LENGTH_DIMENSIONS = 8192, 1024
+#: At most so many labelled samples are used, as many of each language, chosen by a hash of their text.
 MAX_SAMPLES = 20_000
 #: Profiles are refined on at most so many labelled rows of the collection, taken by a hash of their text.
 REFINE_ROWS = 50_000
@@ -42,8 +46,9 @@ LEAST_EVIDENCE = 2.0
 SURE = 4.0
 #: Nats that an upstream label adds to its language while profiles are fitted; it is not used afterwards.
 LABEL_WORTH = 6.0
-#: So much at most does one word speak for a language, against noise from names and slips.
-WORD_LIMIT = 4.0
+LEAST_SEEN = 2
+#: Words of which a bundle is added up at a time.
+BUNDLE = 16_384
 
 _SKIP = regex.compile(r"(?i)[\p{L}\p{N}._+-]+(?:\s+dot\s+[\p{L}\p{N}._+-]+)*\s*(?:[(\[{]\s*at\s*[)\]}]|\sat\s)\s*[\p{L}\p{N}-]+(?:(?:\s+dot\s+|\s*[(\[]dot[)\]]\s*|\.)[\p{L}\p{N}-]+)+|(?:https?://|www\.)\S+|[\p{L}\p{N}._+-]+@[\p{L}\p{N}.-]+|[@#][\p{L}\p{M}\p{N}_.]+|[\[<{][A-Z_]+\d*[\]>}]|:[a-z_]+:")
 _MAY_SKIP = re.compile(r"[@#<\[{]|://|www\.|:[a-z_]+:|(?i:\sat\s.*\sdot\s|\(at\))")
@@ -88,7 +93,7 @@ def tokens(text: str) -> list[tuple[str, bool, bool]]:
 
 
 def grams(word: str) -> list[str]:
-    w = f"^{word[:40]}$"
+    w = f"^{word}$"
     return [w[i : i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1)]
 
 
@@ -108,10 +113,11 @@ class Space:
                 self.rolled[c, place] = v
         return v
 
-    def gram(self, s: str) -> np.ndarray:
-        v = self.letter(s[0], 0)
+    def gram(self, s: str, first: int | None = None) -> np.ndarray:
+        """The bound vector of an n-gram, or its first coordinates."""
+        v = self.letter(s[0], 0)[:first]
         for k, c in enumerate(s[1:], 1):
-            v = v * self.letter(c, k)
+            v = v * self.letter(c, k)[:first]
         return v
 
 
@@ -121,28 +127,40 @@ class Profiles:
     def __init__(self, names: list[str], bundles: np.ndarray, seed: int = 17):
         self.names = names
         self.matrix = (bundles / np.maximum(np.linalg.norm(bundles, axis=1, keepdims=True), 1e-9)).astype(np.float32)
-        self.space = Space(bundles.shape[1], seed)
-        self.known: dict[str, np.ndarray] = {}
+        self._forget(bundles.shape[1], seed)
+
+    def _forget(self, dimensions: int, seed: int) -> None:
+        self.space = Space(dimensions, seed)
+        self.known: dict[str, int] = {}
         self.seen: dict[str, np.ndarray] = {}
+        # row 0 is a word that doesn't count
+        self.product = np.zeros((4096, len(self.names)), np.float32)
+        self.part = np.zeros((4096, min(LENGTH_DIMENSIONS, dimensions)), np.int16)
 
     def __getstate__(self):
         return {"names": self.names, "matrix": self.matrix, "seed": self.space.seed}
 
     def __setstate__(self, s):
-        self.names, self.matrix, self.known, self.seen = s["names"], s["matrix"], {}, {}
-        self.space = Space(self.matrix.shape[1], s["seed"])
-
-    def word(self, w: str) -> np.ndarray:
-        """How much a word speaks for each language, in nats, at most WORD_LIMIT apart from the mean."""
-        v = self.known.get(w)
-        if v is None:
-            if len(self.known) > 300_000:
-                self.known.clear()
-            raw = np.sum([self.gram(s) for s in grams(w)], axis=0)
-            v = self.known[w] = np.clip(SHARPNESS * (raw - raw.mean()), -WORD_LIMIT, WORD_LIMIT)
-        return v
-
-    def gram(self, s: str) -> np.ndarray:
+        self.names, self.matrix = s["names"], s["matrix"]
+        self._forget(self.matrix.shape[1], s["seed"])
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """Each word's row in `product` (its bundle times the prototypes, over the root of the dimensions) and in `part` (its bundle's first coordinates)."""
+        if len(self.known) > 50_000:
+            self._forget(self.space.dimensions, self.space.seed)
+        get = self.known.get
+        return np.array([get(w) or self._row(w) for w in words], np.int64)
+
+    def _row(self, w: str) -> int:
+        row = self.known[w] = len(self.known) + 1
+        if row >= len(self.product):
+            self.product, self.part = np.concatenate([self.product, np.zeros_like(self.product)]), np.concatenate([self.part, np.zeros_like(self.part)])
+        found = grams(w)
+        self.product[row] = np.sum([self._gram(s) for s in found], axis=0)
+        self.part[row] = np.sum([self.space.gram(s, self.part.shape[1]) for s in found], axis=0, dtype=np.int16)
+        return row
+
+    def _gram(self, s: str) -> np.ndarray:
         v = self.seen.get(s)
         if v is None:
             v = self.matrix @ self.space.gram(s).astype(np.float32) / math.sqrt(self.space.dimensions)
@@ -150,6 +168,20 @@ class Profiles:
                 self.seen[s] = v
         return v
 
+    def cosines(self, rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cosine with each prototype, length over the root of the dimensions) of the bundles of rows from each start to the next."""
+        dot = np.add.reduceat(self.product[rows], starts)
+        squares = np.zeros(len(starts))
+        at = 0
+        while at < len(starts):
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + BUNDLE, "right")) - 1)
+            end = starts[to] if to < len(starts) else len(rows)
+            bundle = np.add.reduceat(self.part[rows[starts[at] : end]], starts[at:to] - starts[at], dtype=np.int32).astype(np.float32)
+            squares[at:to] = np.einsum("ij,ij->i", bundle, bundle)
+            at = to
+        length = np.sqrt(squares / self.part.shape[1])
+        return dot / np.maximum(length, 1e-9)[:, None], length
+
 
 def _best_path(scores: np.ndarray, fresh: list[bool]) -> np.ndarray:
     """The language of every word on the best path."""
@@ -170,59 +202,88 @@ def _best_path(scores: np.ndarray, fresh: list[bool]) -> np.ndarray:
     return path
 
 
-def segments(text: str | None, p: Profiles) -> list[tuple[str, float]]:
-    """(language, confidence) of each segment in text order; none for a text without words of a language.
+def _may_change(ahead: np.ndarray, first: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For each text the most that a run of its words is ahead of the text's best language."""
+    n = len(ahead) + len(first)
+    place = np.arange(len(ahead)) + doc + 1  # a 0 before each text
+    x = np.zeros(n)
+    x[place] = ahead
+    sums = np.cumsum(x)
+    begin = first + np.arange(len(first))
+    own = np.repeat(np.arange(len(first)), np.diff(np.r_[begin, n]))
+    sums -= sums[begin][own] if len(first) else 0
+    apart = 2 * np.abs(sums).max(initial=0) + 1
+    low = np.minimum.accumulate(sums - apart * own) + apart * own
+    return np.maximum.reduceat(sums - low, begin)
+
+
+def segment_all(texts, p: Profiles) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, language, confidence, cosine) of each segment of each text, in order; texts without words of a language have none.
 
     A segment's confidence is the share of its language in the odds of all languages.
     """
-    found = tokens(uniform(text)) if text else []
-    if not found:
-        return []
-    nothing = np.zeros(len(p.names))
-    scores = np.stack([p.word(w) if counts else nothing for w, _, counts in found])
-    total = scores.sum(axis=0)
-    best = int(total.argmax())
-    # where no run of words is a change's cost better in another language, the path never changes
-    run = most = 0.0
-    for x in (scores - scores[:, [best]]).max(axis=1).tolist():
-        run = max(0.0, run + x)
-        most = max(most, run)
-    if most <= CHANGE_BETWEEN:
-        if total[best] < LEAST_EVIDENCE:
-            return []
-        path = np.full(len(found), best)
-    else:
-        path = _best_path(scores, [f for _, f, _ in found])
-    cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
-    out = []
-    for a, b in zip(cuts, cuts[1:]):
-        s = scores[a:b].sum(axis=0)
-        out.append((p.names[path[a]], float(1 / np.exp(np.clip(s - s[path[a]], -60, 60)).sum())))
-    return out
-
-
-def sure_words(p: Profiles, texts, labels) -> Counter:
+    found = [tokens(uniform(t)) if t else [] for t in texts]
+    own = np.array([i for i, f in enumerate(found) if f], np.int64)
+    if not len(own):
+        return own, own, np.zeros(0), np.zeros(0)
+    sizes = np.array([len(found[i]) for i in own])
+    first, doc = np.r_[0, np.cumsum(sizes)[:-1]], np.repeat(np.arange(len(own)), sizes)
+    flat = [t for i in own for t in found[i]]
+    rows = p.rows([w for w, _, _ in flat]) * np.array([c for _, _, c in flat])
+    nats = SHARPNESS * (p.product[rows] - p.product[rows].mean(axis=1, keepdims=True))
+    best = np.add.reduceat(nats, first).argmax(axis=1)
+    most = _may_change((nats - nats[np.arange(len(doc)), best[doc]][:, None]).max(axis=1), first, doc)
+    path = best[doc]
+    for d in np.flatnonzero(most > CHANGE_BETWEEN):  # in the others the path never changes: no run is worth it
+        a, z = first[d], first[d] + sizes[d]
+        path[a:z] = _best_path(nats[a:z], [t[1] for t in flat[a:z]])
+    starts = np.flatnonzero(np.r_[True, (np.diff(path) != 0) | (np.diff(doc) != 0)])
+    cosine, length = p.cosines(rows, starts)
+    worth = SHARPNESS * length[:, None] * (cosine - cosine.mean(axis=1, keepdims=True))
+    lang = cosine.argmax(axis=1)
+    top = worth[np.arange(len(starts)), lang]
+    alone = np.bincount(doc[starts], minlength=len(own))[doc[starts]] == 1
+    keep = ~alone | (top >= LEAST_EVIDENCE)
+    sure = 1 / np.exp(np.clip(worth - top[:, None], -60, 60)).sum(axis=1)
+    return own[doc[starts]][keep], lang[keep], sure[keep], cosine[np.arange(len(starts)), lang][keep]
+
+
+def segments(text: str | None, p: Profiles) -> list[tuple[str, float]]:
+    """(language, confidence) of each segment of one text."""
+    _, lang, sure, _ = segment_all([text], p)
+    return [(p.names[i], float(c)) for i, c in zip(lang, sure)]
+
+
+def clauses(text: str | None) -> list[list[str]]:
+    """The counting words of each clause of three or more."""
+    out: list[list[str]] = []
+    for w, fresh, counted in tokens(uniform(text)) if text else []:
+        if fresh or not out:
+            out.append([])
+        if counted:
+            out[-1].append(w)
+    return [c for c in out if len(c) >= 3]
+
+
+def sure_words(p: Profiles, said: list[str], labels: list) -> Counter:
     """(language, word) counts of the clauses that p, with the upstream label as a hint, is sure of."""
     counts: Counter = Counter()
+    if not said:
+        return counts
     place = {name: i for i, name in enumerate(p.names)}
-    for text, label in zip(texts, labels):
-        if not text:
-            continue
-        clauses: list[list[str]] = []
-        for w, fresh, counted in tokens(uniform(text)):
-            if fresh or not clauses:
-                clauses.append([])
-            if counted:
-                clauses[-1].append(w)
-        for clause in clauses:
-            if len(clause) < 3:
-                continue
-            s = np.sum([p.word(w) for w in clause], axis=0)
-            if label in place:
-                s[place[label]] += LABEL_WORTH
-            a, b = np.argsort(s)[[-1, -2]]
-            if s[a] - s[b] >= SURE:
-                counts.update((p.names[a], w) for w in clause)
+    split = [c.split(" ") for c in said]
+    starts = np.r_[0, np.cumsum([len(c) for c in split])[:-1]]
+    products = np.add.reduceat(p.product[p.rows([w for c in split for w in c])], starts)
+    nats = SHARPNESS * (products - products.mean(axis=1, keepdims=True))
+    hint = np.array([place.get(x, -1) for x in labels])
+    nats[np.flatnonzero(hint >= 0), hint[hint >= 0]] += LABEL_WORTH
+    order = np.argsort(nats, axis=1)
+    at = np.arange(len(split))
+    best = order[:, -1]
+    sure = nats[at, best] - (nats[at, order[:, -2]] if nats.shape[1] > 1 else 0) >= SURE
+    for i in np.flatnonzero(sure):
+        name = p.names[best[i]]
+        counts.update((name, w) for w in split[i])
     return counts
 
 
@@ -239,15 +300,22 @@ def bundle_grams(names, rows, sizes: np.ndarray, dimensions: int) -> np.ndarray:
     """The languages' sums of weighted gram vectors. rows: (gram, counts by language)."""
     space, sums = Space(dimensions), np.zeros((len(names), dimensions))
     sizes = np.maximum(sizes, 1)
+    held, weights = [], []
+
+    def add() -> None:
+        if held:
+            sums[:] += np.array(weights, np.float32).T @ np.stack(held).astype(np.float32)
+        held.clear(), weights.clear()
+
     for gram, counts in rows:
         counts = np.asarray(counts, float)
         shares = counts / sizes
-        weights = [gram_weight(n, shares, i) if n else 0.0 for i, n in enumerate(counts)]
-        if any(weights):
-            v = space.gram(gram)
-            for i, w in enumerate(weights):
-                if w:
-                    sums[i] += w * v
+        own = [gram_weight(n, shares, i) if n else 0.0 for i, n in enumerate(counts)]
+        if any(own):
+            held.append(space.gram(gram)), weights.append(own)
+            if len(held) == 512:
+                add()
+    add()
     return sums
 
 
@@ -279,7 +347,9 @@ def fit(samples: DataFrame, corpus: DataFrame, text: str = "text", lang: str = "
 
     Both tables have the columns text and lang; the corpus's may be null, missing or wrong.
     """
-    rows = [(r[0], r[1]) for r in samples.select(text, lang).dropna().orderBy(lang, text).limit(MAX_SAMPLES).collect()]
+    both = samples.select(F.col(text).alias("t"), F.col(lang).alias("l")).dropna().distinct()
+    kinds = both.select("l").distinct().count()
+    rows = [(r.t, r.l) for r in top_k(both, ["l"], [F.xxhash64("t"), F.col("t")], max(1, MAX_SAMPLES // max(1, kinds))).orderBy("l", "t").collect()]  # at most MAX_SAMPLES
     if not rows:
         raise ValueError("no labelled samples")
     p = fit_samples(rows, dimensions)
@@ -287,14 +357,22 @@ def fit(samples: DataFrame, corpus: DataFrame, text: str = "text", lang: str = "
     spark = samples.sparkSession
     own = spark.createDataFrame([(*k, n) for k, n in gram_counts(_sample_words(rows)).items()], "lang string, gram string, n bigint")
     labelled = corpus.select(F.col(text).alias("text"), F.col(lang).alias("label")).where(F.col("label").isin(*names) & F.col("text").isNotNull())
-    labelled = cut(labelled.orderBy(F.xxhash64("text"), "text").limit(REFINE_ROWS).repartition(labelled.sparkSession.sparkContext.defaultParallelism)) if rounds > 1 else labelled
+    if rounds > 1:
+        labelled = labelled.orderBy(F.xxhash64("text"), "text").limit(REFINE_ROWS).repartition(labelled.sparkSession.sparkContext.defaultParallelism)
+
+        def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                out = [(label, " ".join(c)) for t, label in zip(b["text"], b["label"]) for c in clauses(t)]
+                yield pd.DataFrame(out, columns=["label", "said"])
+
+        labelled = cut(labelled.mapInPandas(parse, "label string, said string"))
     for _ in range(rounds - 1):
         before = spark.sparkContext.broadcast(p)  # languages x dimensions numbers
 
         def count(batches: Iterator[pd.DataFrame], before=before) -> Iterator[pd.DataFrame]:
             total: Counter = Counter()
             for b in batches:
-                total.update(sure_words(before.value, b["text"], b["label"]))
+                total.update(sure_words(before.value, b["said"].tolist(), b["label"].tolist()))
                 if len(total) > 200_000:
                     yield _rows(gram_counts(total))
                     total.clear()
@@ -302,7 +380,7 @@ def fit(samples: DataFrame, corpus: DataFrame, text: str = "text", lang: str = "
 
         counted = labelled.mapInPandas(count, "lang string, gram string, n bigint")
         each = counted.unionByName(own).groupBy("gram").agg(*[F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)).alias(f"n{i}") for i, name in enumerate(names)])
-        each = cut(each.where(" + ".join(f"n{i}" for i in range(len(names))) + " > 1"))
+        each = cut(each.where(" + ".join(f"n{i}" for i in range(len(names))) + f" >= {LEAST_SEEN}"))
         sizes = np.array([x or 0 for x in each.agg(*[F.sum(f"n{i}") for i in range(len(names))]).first()], float)
 
         def bundle(batches: Iterator[pd.DataFrame], sizes=sizes) -> Iterator[pd.DataFrame]:
@@ -325,24 +403,23 @@ def _rows(counts: Counter) -> pd.DataFrame:
 
 
 def language_segments(df: DataFrame, profiles: Profiles, record_id: str, text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """(record_id, *carry, seg_no, segments, lang, confidence): a row for each segment of each text.
+    """(record_id, *carry, seg_no, segments, lang_found, confidence, cosine): a row for each segment of each text.
 
     Null, empty and wordless texts have no row. Rows that repeat are each given theirs.
     """
     columns = [record_id, *carry]
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), "seg_no int", "segments int", "lang_found string", "confidence double"])
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in columns), "seg_no int", "segments int", "lang_found string", "confidence double", "cosine double"])
     sent = df.sparkSession.sparkContext.broadcast(profiles)  # languages x dimensions numbers
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = sent.value
         for b in batches:
-            rows, numbers, sizes, names, sure = [], [], [], [], []
-            for i, t in enumerate(b["__text"]):
-                s = segments(t, p)
-                for k, (name, c) in enumerate(s, 1):
-                    rows.append(i), numbers.append(k), sizes.append(len(s)), names.append(name), sure.append(round(c, 4))
-            out = b[columns].iloc[rows].reset_index(drop=True)
-            yield out.assign(seg_no=np.array(numbers, np.int32), segments=np.array(sizes, np.int32), lang_found=pd.Series(names, dtype=object), confidence=np.array(sure, float))
+            own, lang, sure, cosine = segment_all(b["__text"], p)
+            first = np.flatnonzero(np.r_[True, np.diff(own) != 0][: len(own)])
+            many = np.diff(np.r_[first, len(own)])
+            numbers = np.arange(len(own)) - np.repeat(first, many) + 1
+            out = b[columns].iloc[own].reset_index(drop=True)
+            yield out.assign(seg_no=numbers.astype(np.int32), segments=np.repeat(many, many).astype(np.int32), lang_found=pd.Series(np.array(p.names, object)[lang], dtype=object), confidence=np.round(sure, 4), cosine=np.round(cosine.astype(float), 4))
 
     return spread(df.select(*columns, F.col(text).alias("__text")).where("__text IS NOT NULL")).mapInPandas(f, schema)

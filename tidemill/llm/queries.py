@@ -155,7 +155,7 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
 @query()
 def p4_segments(spark: SparkSession, root: str) -> DataFrame:
     """Every language segment of every quote with its confidence."""
-    return _segments(spark, root).select("quote_id", "seg_no", "segments", F.col("lang_found").alias("lang"), "confidence")
+    return _segments(spark, root).select("quote_id", "seg_no", "segments", F.col("lang_found").alias("lang"), "confidence", "cosine")
 
 
 def _personal(spark: SparkSession, root: str) -> DataFrame:
