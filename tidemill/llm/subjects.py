@@ -366,6 +366,7 @@ def judged(said: DataFrame, marks: DataFrame, k: int) -> DataFrame:
 
         def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             keys, marks = sent.value
+            telling = marks.any(axis=1)
             for _, w in chunks(batches):
                 if not len(w.word) or not len(keys):
                     continue
@@ -374,9 +375,13 @@ def judged(said: DataFrame, marks: DataFrame, k: int) -> DataFrame:
                 for key, use in ((w.word, np.ones(len(w.word), bool)), (w.pair, ~w.last)):
                     at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
                     hit = np.flatnonzero(use & (keys[at] == key))
-                    once = np.unique(w.sentence[hit] * len(keys) + at[hit])
-                    np.add.at(sums, once // len(keys), marks[once % len(keys)])
                     met[w.sentence[hit]] = True
+                    hit = hit[telling[at[hit]]]
+                    once = np.unique(w.sentence[hit] * len(keys) + at[hit])
+                    if len(once):
+                        line = once // len(keys)
+                        begin = np.flatnonzero(np.r_[True, np.diff(line) != 0])
+                        sums[line[begin]] += np.add.reduceat(marks[once % len(keys)], begin)
                 most = sums[:, :k].max(axis=1)
                 chosen = np.flatnonzero(met & ((most > 0) | (sums[:, k] == 0)))
                 targets = ((sums[chosen, :k] > 0) & (2 * sums[chosen, :k] >= most[chosen, None])).astype(np.float32)
