@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemill.llm import languages, subjects
+from tidemill.llm import languages, packing, subjects, term_counts
 from tidemill.llm.leakage import leaking_documents, leaks
 
 
@@ -88,3 +88,23 @@ def test_cosines_are_those_of_the_bundles():
     a, b = "q" * 45 + "a", "q" * 45 + "b"
     assert languages.grams(a) != languages.grams(b)
     assert languages._may_change(np.array([1.0, -5, 2, 3, -1, 4, -9, 1]), np.array([0, 3, 6]), np.array([0, 0, 0, 1, 1, 1, 2, 2])).tolist() == [2, 6, 1]
+
+
+def test_sparse_identifiers_are_numbered(spark):
+    r = random.Random(2)
+    ids = [r.randrange(-(1 << 62), 1 << 62) for _ in range(3000)]
+    rows = [(i, " ".join(r.choice("abcdefg") * 2 for _ in range(4))) for i in ids] + [(ids[0], "twice aa"), (None, "aa none")]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    index = term_counts.term_index(df, "id").where("term = 'aa'").collect()
+    held = {}
+    for i, t in rows:
+        held.setdefault(i, set()).update(t.split())
+    assert sum(x.card for x in index) == sum("aa" in v for v in held.values()) and len(index) <= 2 * 4
+    assert term_counts.term_counts(df, "id").where("term = 'twice'").first().documents == 1
+
+
+def test_utilisation(spark):
+    items = spark.createDataFrame([(i, 4) for i in range(10)], "id bigint, n bigint")
+    kinds = spark.createDataFrame([("k", 10)], "kind string, size bigint")
+    out = packing.utilisation(packing.fill(items, kinds, "id", "n", "kind", "size"), kinds, "kind", "size").collect()
+    assert [tuple(x) for x in out] == [("k", 5, 40, 0.8)]

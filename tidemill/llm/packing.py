@@ -11,6 +11,7 @@ a shard's end.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -47,9 +48,16 @@ def token_count(text: str | None, path: str = TOKENIZER) -> int:
 
 
 def token_counts(df: DataFrame, text: str = "text", into: str = "tokens", path: str = TOKENIZER) -> DataFrame:
+    """df with the number of tokens of column `text`. The vocabulary file is sent to the executors, which need no copy."""
+    df.sparkSession.sparkContext.addFile(path)
+    name = os.path.basename(path)
+
     @F.pandas_udf(T.LongType())
     def count(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: token_count(t, path)).astype("int64")
+        from pyspark import SparkFiles
+
+        own = SparkFiles.get(name)
+        return s.map(lambda t: token_count(t, own)).astype("int64")
 
     return spread(df).withColumn(into, count(F.col(text)))
 
@@ -141,3 +149,10 @@ def fill(items: DataFrame, containers: DataFrame, item_id: str, size: str, kind:
         spread = each.repartition(len(kinds) * shards, "kind", "shard").sortWithinPartitions("kind", "shard", "order", "item", "size")
         placed = spread.select("kind", "capacity", "shard", "item", "size").mapInPandas(_fill(open_bins), schema)
     return placed.withColumnsRenamed({"kind": kind, "item": item_id})
+
+
+def utilisation(placed: DataFrame, containers: DataFrame, kind: str, capacity: str) -> DataFrame:
+    """(kind, bins, units, used): how many containers of each kind fill() took, and how full they are."""
+    bins = placed.groupBy(kind, "shard", "bin").agg(F.sum("units").alias("units")).groupBy(kind).agg(F.count("*").alias("bins"), F.sum("units").alias("units"))
+    sizes = containers.select(kind, F.col(capacity).alias("__size")).distinct()
+    return bins.join(sizes, kind).select(kind, "bins", "units", F.round(F.col("units") / (F.col("bins") * F.col("__size")), 4).alias("used"))

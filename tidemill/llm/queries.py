@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.capping import cap_contributors, shortcode
 from tidemill.llm.languages import fit, language_segments
 from tidemill.llm.leakage import leaking_documents, leaks
-from tidemill.llm.packing import fill, token_counts
+from tidemill.llm.packing import fill, token_counts, utilisation
 from tidemill.llm.personal_information import find_personal, sanitise
 from tidemill.llm.subjects import MAX_SUBJECTS, SHARE, parsed, subject_shares
 from tidemill.llm.subjects import fit as fit_subjects
@@ -127,6 +127,12 @@ def p7_fill(spark: SparkSession, root: str) -> DataFrame:
     return fill(sized, table(spark, root, "containers"), "doc_id", "tokens", "container_kind", "capacity_tokens")
 
 
+@query()
+def p7_utilisation(spark: SparkSession, root: str) -> DataFrame:
+    """How many containers of each capacity the documents take, and how full they are."""
+    return utilisation(p7_fill(spark, root), table(spark, root, "containers"), "container_kind", "capacity_tokens")
+
+
 @query()
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
     """Documents with the evaluation items they leak."""

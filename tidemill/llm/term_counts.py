@@ -1,7 +1,8 @@
 """Occurrences and document frequency of every term, from vertical bitmaps.
 
-Each term has, for every block of 65,536 record identifiers, a container of the identifiers holding
-it and a counter of its occurrences. A container is a sorted list of 16-bit values or, beyond 4,096
+Each term has, for every block of 65,536 records, a container of the records holding it and a counter
+of its occurrences. Records are named by their identifiers where these are dense; sparse identifiers
+are first replaced by ordinals, as containers of a few identifiers each would compress nothing. A container is a sorted list of 16-bit values or, beyond 4,096
 of them, a bitmap of 8 KB, whichever is smaller. Tasks build containers over their own rows and
 containers of one term and block are united after one shuffle; document frequency is the sum of
 cardinalities. Terms that stand in most records weigh at most 8 KB a block, so no term is too hot.
@@ -22,6 +23,8 @@ from tidemill.session import spread
 TERM = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 LIST_MAX = 4096
 FLUSH_POSTINGS = 1_000_000
+#: Identifiers that span so many times their number are sparse.
+SPARSE = 16
 INDEX_SCHEMA = "term string, block bigint, card int, occurrences bigint, container binary"
 
 
@@ -54,6 +57,20 @@ def unite(containers: list[tuple[bytes, int]]) -> tuple[bytes, int]:
     return pack(low), len(low)
 
 
+def _ordinals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Numbers the records of a partition, which come sorted, after those of the partitions before."""
+    from pyspark import TaskContext
+
+    at, last = TaskContext.get().partitionId() << 40, None
+    for b in batches:
+        rid = b["rid"].to_numpy()
+        if len(rid):
+            fresh = np.r_[last is not None and rid[0] != last, rid[1:] != rid[:-1]]
+            number = at + np.cumsum(fresh)
+            at, last = int(number[-1]), rid[-1]
+            yield b.assign(rid=number)
+
+
 def _build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     codes: dict[str, int] = {}
     held: list[int] = []
@@ -122,7 +139,12 @@ def term_index(df: DataFrame, record_id: str, text: str = "text") -> DataFrame:
     """
     own = -F.monotonically_increasing_id() - 1
     rows = df.select(F.coalesce(F.col(record_id).cast("bigint"), own).alias("rid"), F.col(text).alias("text")).where("text IS NOT NULL")
-    built = spread(rows).mapInPandas(_build, INDEX_SCHEMA)
+    ends = df.agg(F.count("*").alias("n"), F.min(F.col(record_id).cast("bigint")).alias("lo"), F.max(F.col(record_id).cast("bigint")).alias("hi")).first()
+    if ends.lo is not None and ends.hi - ends.lo > SPARSE * ends.n:
+        rows = rows.repartition("rid").sortWithinPartitions("rid").mapInPandas(_ordinals, "rid bigint, text string")
+    else:
+        rows = spread(rows)
+    built = rows.mapInPandas(_build, INDEX_SCHEMA)
     return built.repartition("term", "block").sortWithinPartitions("term", "block").mapInPandas(_merge, INDEX_SCHEMA)
 
 
