@@ -34,6 +34,17 @@ def tokens(c: Column) -> Column:
     return F.filter(parts, lambda t: (F.length(t) >= 3) & ~t.rlike(r"^[0-9]+$") & ~t.isin(*STOP_WORDS))
 
 
+def loose(c: Column) -> Column:
+    """Lower-case text without addresses; letters, digits, #, @, ' and - stay."""
+    s = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), URL, " ")
+    return collapse(F.regexp_replace(s, r"[^\p{L}\p{N}#@'\s-]", " "))
+
+
+def loose_words(c: Column) -> Column:
+    """Words of three or more characters of the loose form, function words among them; numbers and mentions are left out."""
+    return F.filter(F.split(loose(c), " "), lambda t: (F.length(t) >= 3) & ~t.rlike(r"^[0-9]+$") & ~F.startswith(t, F.lit("@")))
+
+
 def ngrams(words: Column, n: int) -> Column:
     """The n-grams of an array of words, in order."""
     count = F.greatest(F.size(words) - (n - 1), F.lit(0))

@@ -61,3 +61,8 @@ def share(part: Column, whole: Column, digits: int = 4) -> Column:
 def seconds(ts: Column) -> Column:
     """Seconds since 1970 of a time without zone, read as UTC whatever the session's zone."""
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+
+
+def day_offset(at_s: Column, days: Column, pattern: str = "yyyy-MM-dd") -> Column:
+    """The UTC day (or stamp) some days from a time in seconds."""
+    return F.date_format(F.timestamp_seconds(at_s + days * 86400), pattern)
