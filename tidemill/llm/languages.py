@@ -48,7 +48,7 @@ SURE = 4.0
 LABEL_WORTH = 6.0
 LEAST_SEEN = 2
 #: Words of which a bundle is added up at a time.
-BUNDLE = 16_384
+BUNDLE = 4096
 
 _SKIP = regex.compile(r"(?i)[\p{L}\p{N}._+-]+(?:\s+dot\s+[\p{L}\p{N}._+-]+)*\s*(?:[(\[{]\s*at\s*[)\]}]|\sat\s)\s*[\p{L}\p{N}-]+(?:(?:\s+dot\s+|\s*[(\[]dot[)\]]\s*|\.)[\p{L}\p{N}-]+)+|(?:https?://|www\.)\S+|[\p{L}\p{N}._+-]+@[\p{L}\p{N}.-]+|[@#][\p{L}\p{M}\p{N}_.]+|[\[<{][A-Z_]+\d*[\]>}]|:[a-z_]+:")
 _MAY_SKIP = re.compile(r"[@#<\[{]|://|www\.|:[a-z_]+:|(?i:\sat\s.*\sdot\s|\(at\))")
@@ -135,7 +135,7 @@ class Profiles:
         self.seen: dict[str, np.ndarray] = {}
         # row 0 is a word that doesn't count
         self.product = np.zeros((4096, len(self.names)), np.float32)
-        self.part = np.zeros((4096, min(LENGTH_DIMENSIONS, dimensions)), np.int16)
+        self.part = np.zeros((4096, min(LENGTH_DIMENSIONS, dimensions)), np.float32)
 
     def __getstate__(self):
         return {"names": self.names, "matrix": self.matrix, "seed": self.space.seed}
@@ -157,7 +157,7 @@ class Profiles:
             self.product, self.part = np.concatenate([self.product, np.zeros_like(self.product)]), np.concatenate([self.part, np.zeros_like(self.part)])
         found = grams(w)
         self.product[row] = np.sum([self._gram(s) for s in found], axis=0)
-        self.part[row] = np.sum([self.space.gram(s, self.part.shape[1]) for s in found], axis=0, dtype=np.int16)
+        self.part[row] = np.sum([self.space.gram(s, self.part.shape[1]) for s in found], axis=0, dtype=np.int32)
         return row
 
     def _gram(self, s: str) -> np.ndarray:
@@ -172,33 +172,39 @@ class Profiles:
         """(cosine with each prototype, length over the root of the dimensions) of the bundles of rows from each start to the next."""
         dot = np.add.reduceat(self.product[rows], starts)
         squares = np.zeros(len(starts))
-        at = 0
-        while at < len(starts):
-            to = max(at + 1, int(np.searchsorted(starts, starts[at] + BUNDLE, "right")) - 1)
-            end = starts[to] if to < len(starts) else len(rows)
-            bundle = np.add.reduceat(self.part[rows[starts[at] : end]], starts[at:to] - starts[at], dtype=np.int32).astype(np.float32)
-            squares[at:to] = np.einsum("ij,ij->i", bundle, bundle)
-            at = to
+        for k, (a, z) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(rows)])):
+            bundle = self.part.take(rows[a : min(z, a + BUNDLE)], axis=0).sum(axis=0)
+            for b in range(a + BUNDLE, z, BUNDLE):
+                bundle += self.part.take(rows[b : min(z, b + BUNDLE)], axis=0).sum(axis=0)
+            squares[k] = bundle @ bundle
         length = np.sqrt(squares / self.part.shape[1])
         return dot / np.maximum(length, 1e-9)[:, None], length
 
 
-def _best_path(scores: np.ndarray, fresh: list[bool]) -> np.ndarray:
-    """The language of every word on the best path."""
-    n, k = scores.shape
-    back = np.zeros((n, k), np.int32)
-    at = scores[0].copy()
-    own = np.arange(k)
-    for i in range(1, n):
-        top = int(at.argmax())
-        moved = at[top] - (CHANGE_BETWEEN if fresh[i] else CHANGE_WITHIN)
-        stay = at >= moved
-        back[i] = np.where(stay, own, top)
-        at = np.where(stay, at, moved) + scores[i]
-    path = np.empty(n, np.int32)
-    path[-1] = at.argmax()
-    for i in range(n - 1, 0, -1):
-        path[i - 1] = back[i, path[i]]
+def _best_paths(scores: np.ndarray, fresh: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The language of every word on the best path of its text, for all texts at once, the longest leading.
+
+    Texts begin at `first` and have `sizes` words; words of no text keep -1.
+    """
+    k = scores.shape[1]
+    order = np.argsort(-sizes, kind="stable")
+    first, sizes = first[order], sizes[order]
+    still = np.searchsorted(-sizes, -np.arange(sizes.max(initial=0)), "left")  # texts of more than i words
+    back = np.zeros(scores.shape, np.int16)
+    path = np.full(len(scores), -1)
+    at, own = scores[first].copy(), np.arange(k)
+    for i in range(1, len(still)):
+        m = still[i]
+        here, held = first[:m] + i, at[:m]
+        top = held.argmax(axis=1)
+        moved = (held[np.arange(m), top] - np.where(fresh[here], CHANGE_BETWEEN, CHANGE_WITHIN))[:, None]
+        stay = held >= moved
+        back[here] = np.where(stay, own, top[:, None])
+        at[:m] = np.where(stay, held, moved) + scores[here]
+    path[first + sizes - 1] = at.argmax(axis=1)
+    for i in range(len(still) - 1, 0, -1):
+        here = first[: still[i]] + i
+        path[here - 1] = back[here, path[here]]
     return path
 
 
@@ -234,9 +240,10 @@ def segment_all(texts, p: Profiles) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     best = np.add.reduceat(nats, first).argmax(axis=1)
     most = _may_change((nats - nats[np.arange(len(doc)), best[doc]][:, None]).max(axis=1), first, doc)
     path = best[doc]
-    for d in np.flatnonzero(most > CHANGE_BETWEEN):  # in the others the path never changes: no run is worth it
-        a, z = first[d], first[d] + sizes[d]
-        path[a:z] = _best_path(nats[a:z], [t[1] for t in flat[a:z]])
+    mixed = np.flatnonzero(most > CHANGE_BETWEEN)  # in the others the path never changes: no run is worth it
+    if len(mixed):
+        moving = _best_paths(nats, np.array([f for _, f, _ in flat]), first[mixed], sizes[mixed])
+        path = np.where(moving >= 0, moving, path)
     starts = np.flatnonzero(np.r_[True, (np.diff(path) != 0) | (np.diff(doc) != 0)])
     cosine, length = p.cosines(rows, starts)
     worth = SHARPNESS * length[:, None] * (cosine - cosine.mean(axis=1, keepdims=True))
