@@ -57,3 +57,14 @@ def latest_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in key and c not in order]
     best = df.groupBy(*key).agg(F.min(F.struct(*order, *rest)).alias("__best"))
     return best.select(*key, *[F.col("__best")[c].alias(c) for c in [*order, *rest]]).select(*df.columns)
+
+
+def fold_states(states: DataFrame, key: str, order: str, status: str = "status", kept: tuple[str, ...] = (), highest: tuple[str, ...] = ()) -> DataFrame:
+    """The states of each key merged in their order by the rule of merge_states, in one aggregation.
+
+    The row of the highest status rank wins, the first at a tie; columns `kept` are the first row's, columns
+    `highest` the greatest.
+    """
+    best = F.struct(-status_rank(F.col(status)), F.col(order))
+    rest = [c for c in states.columns if c not in (key, *kept, *highest)]
+    return states.groupBy(key).agg(*[F.min_by(c, F.col(order)).alias(c) for c in kept], *[F.max(c).alias(c) for c in highest], *[F.min_by(c, best).alias(c) for c in rest]).select(*states.columns)

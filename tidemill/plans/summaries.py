@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.functions.values import post_kind, shortcode
-from tidemill.operators.keyed import merge_states
+from tidemill.functions.values import post_kind, short_number, shortcode
+from tidemill.operators.keyed import fold_states
 from tidemill.operators.ranking import top_k
 from tidemill.plans.base import COMMENTS, comments, posts
 from tidemill.plans.catalog import query
 from tidemill.session import cut
+from tidemill.sources.pages import linked_posts, page_record
 from tidemill.sources.tables import table
 
 
@@ -140,6 +141,73 @@ def post_address_parts(spark, root):
     return q.select("quote_id", shortcode(F.col("post_url")).alias("shortcode"), post_kind(F.col("post_url")).alias("kind"))
 
 
+@query(
+    COMMENTS
+    + r"""
+    , s AS (SELECT post, count(*) AS comments, count(DISTINCT nullif(trim(regexp_replace(author, '[\s]+', ' ', 'g')), '')) AS authors, count(DISTINCT author) AS author_names, count(DISTINCT coalesce(author, 'unknown')) AS authors_or_unknown, CAST(sum(likes) AS BIGINT) AS likes, round(avg(likes), 2) AS mean_likes, median(likes) AS median_likes, max(likes) AS most_likes,
+        count(*) FILTER (likes = 0) AS without_likes, count(*) FILTER (depth > 0) AS replies, count(*) FILTER (depth = 0) AS top_level, count(*) FILTER (text = '') AS empty_texts, CAST(sum(length(text)) AS BIGINT) AS characters, round(avg(length(text)), 2) AS mean_characters, max(length(text)) AS longest,
+        count(*) FILTER (contains(text, '?')) AS questions, count(*) FILTER (regexp_matches(text, '[^\x00-\x7f]')) AS not_ascii, count(*) FILTER (regexp_matches(text, '(?:^|[^A-Za-z0-9_.@])@[A-Za-z0-9_.]+')) AS with_mention, count(*) FILTER (regexp_matches(text, '(?:^|[^A-Za-z0-9_&#])#[\p{L}\p{N}_]+')) AS with_hashtag FROM c GROUP BY post),
+    k AS (SELECT post, list(likes ORDER BY r) AS top_likes, list(comment_id ORDER BY r) AS top_comments FROM (SELECT *, row_number() OVER (PARTITION BY post ORDER BY likes DESC, comment_id) AS r FROM c) WHERE r <= 5 GROUP BY post)
+    SELECT p.post, p.id, p.title AS caption, substring(p.title, 1, 160) AS caption_preview, length(p.title) AS caption_characters, p.posted_s, p.total_comments, p.like_count, p.view_count, p.captured_comments AS captured_reported, coalesce(s.comments, 0) AS comments, s.* EXCLUDE (post, comments),
+        CASE WHEN p.total_comments > 0 THEN round(coalesce(s.comments, 0) / p.total_comments, 4) END AS capture_rate, p.title IS NULL AS no_caption, p.posted_s IS NULL AS no_date, coalesce(s.comments, 0) = 0 AS no_comments, k.top_likes, k.top_comments
+    FROM p LEFT JOIN s ON p.post = s.post LEFT JOIN k ON p.post = k.post
+    """
+)
+def post_summary(spark, root):
+    """The whole summary of each post: its page, its comments' counts, likes, lengths and signs, what is missing, and its best comments."""
+    c, t, n = comments(spark, root), F.col("text"), F.col("likes")
+    tidy = F.nullif(F.trim(F.regexp_replace("author", r"[\s]+", " ")), F.lit(""))
+    s = c.groupBy("post").agg(
+        F.count("*").alias("comments"), F.count_distinct(tidy).alias("authors"), F.count_distinct("author").alias("author_names"), F.count_distinct(F.coalesce("author", F.lit("unknown"))).alias("authors_or_unknown"), F.sum(n).alias("likes"), F.round(F.avg(n), 2).alias("mean_likes"),
+        F.percentile(n, F.lit(0.5)).alias("median_likes"), F.max(n).alias("most_likes"), F.count_if(n == 0).alias("without_likes"), F.count_if(F.col("depth") > 0).alias("replies"), F.count_if(F.col("depth") == 0).alias("top_level"), F.count_if(t == "").alias("empty_texts"),
+        F.sum(F.length(t)).alias("characters"), F.round(F.avg(F.length(t)), 2).alias("mean_characters"), F.max(F.length(t)).alias("longest"), F.count_if(t.contains("?")).alias("questions"), F.count_if(t.rlike(r"[^\x00-\x7f]")).alias("not_ascii"),
+        F.count_if(t.rlike(r"(?:^|[^A-Za-z0-9_.@])@[A-Za-z0-9_.]+")).alias("with_mention"), F.count_if(t.rlike(r"(?:^|[^A-Za-z0-9_&#])#[\p{L}\p{N}_]+")).alias("with_hashtag"),
+    )
+    best = top_k(c.select("post", "comment_id", "likes"), ["post"], [F.desc("likes"), F.asc("comment_id")], 5).groupBy("post").agg(F.array_sort(F.collect_list(F.struct("rank", "likes", "comment_id"))).alias("k"))
+    top = best.select("post", F.transform("k", lambda x: x["likes"]).alias("top_likes"), F.transform("k", lambda x: x["comment_id"]).alias("top_comments"))
+    j = posts(spark, root).join(s, "post", "left").join(top, "post", "left").withColumn("comments", F.coalesce("comments", F.lit(0)))
+    return j.select(
+        "post", "id", F.col("title").alias("caption"), F.substring("title", 1, 160).alias("caption_preview"), F.length("title").alias("caption_characters"), F.unix_seconds("posted_at").alias("posted_s"), "total_comments", "like_count", "view_count", F.col("captured_comments").alias("captured_reported"),
+        *[x for x in s.columns if x != "post"], F.when(F.col("total_comments") > 0, F.round(F.col("comments") / F.col("total_comments"), 4)).alias("capture_rate"), F.col("title").isNull().alias("no_caption"), F.col("posted_at").isNull().alias("no_date"), (F.col("comments") == 0).alias("no_comments"), "top_likes", "top_comments",
+    )
+
+
+@query(
+    """
+    WITH n AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS n, o_orderkey % 4 AS form FROM orders)
+    SELECT o_orderkey, CASE form WHEN 0 THEN n WHEN 1 THEN n // 1000 * 1000 WHEN 2 THEN n % 1000 * 1000000 ELSE n % 100 * 1000000000 END AS value FROM n
+    """
+)
+def short_number_forms(spark, root):
+    """Numbers written with commas, K, M and B, read back."""
+    n = F.floor("o_totalprice")
+    k = F.col("o_orderkey") % 4
+    text = F.when(k == 0, F.format_number(n, 0)).when(k == 1, F.concat(F.floor(n / 1000), F.lit("k"))).when(k == 2, F.concat(n % 1000, F.lit(".0M likes"))).otherwise(F.concat(n % 100, F.lit(" B")))
+    return table(spark, root, "orders").select("o_orderkey", short_number(text).alias("value"))
+
+
+@query(
+    r"""
+    WITH g AS (SELECT post_id, quote_id, post_url FROM quotes WHERE post_id IS NOT NULL AND post_url IS NOT NULL), x AS (SELECT post_id, quote_id, nullif(regexp_extract(post_url, '(?i)/(p|reel|reels|tv)/([A-Za-z0-9_-]+)', 2), '') AS shortcode FROM g)
+    SELECT quote_id, shortcode FROM x WHERE shortcode IS NOT NULL
+    """
+)
+def link_extraction(spark, root):
+    """Posts linked from pages: each quote's address put into a page of other links and repeated."""
+    q = table(spark, root, "quotes").where("post_id IS NOT NULL AND post_url IS NOT NULL")
+    html = F.concat(F.lit('<a href="/about/">x</a><a class=y href=\''), F.trim("post_url"), F.lit("'>z</a><a href=\""), F.trim("post_url"), F.lit('">again</a>'))
+    return linked_posts(q.select("quote_id", html.alias("html")), "quote_id", "html").select("quote_id", "shortcode")
+
+
+@query(COMMENTS + " SELECT comment_id, author, trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g')) AS text FROM c WHERE author IS NOT NULL AND regexp_matches(author, '^[a-z0-9._]+$') AND regexp_matches(text, '^[A-Za-z ,.!?]+$') AND length(trim(text)) > 0 AND lower(trim(text)) <> author")
+def html_record_extraction(spark, root):
+    """Comments read back from pages made of them."""
+    c = comments(spark, root).where("author IS NOT NULL").where(F.col("author").rlike("^[a-z0-9._]+$") & F.col("text").rlike("^[A-Za-z ,.!?]+$") & (F.length(F.trim("text")) > 0) & (F.lower(F.trim("text")) != F.col("author")))
+    html = F.concat(F.lit('<meta property="og:title" content="t"><ul><li><a href="/'), "author", F.lit('/">'), "author", F.lit("</a><span>"), "text", F.lit("</span></li></ul>"))
+    r = c.select("comment_id", page_record(html).alias("r")).select("comment_id", F.get("r.comments", F.lit(0)).alias("k"))
+    return r.select("comment_id", "k.author", "k.text")
+
+
 @query(COMMENTS + " SELECT post, comment_id, author, likes FROM c")
 def comment_upsert(spark, root):
     """The keyed store after replaying every capture: each comment once, its latest capture."""
@@ -159,32 +227,19 @@ def content_dedupe(spark, root):
     return r.groupBy(*key).agg(F.min("comment_id").alias("comment_id"), F.count("*").alias("copies"))
 
 
-_STATES = """
-    WITH s AS (SELECT post_shortcode AS post, batch_id, count(*) AS captured, CASE WHEN count(*) >= 10 THEN 'complete' WHEN count(*) >= 3 THEN 'partial' ELSE 'in_progress' END AS status,
-        min(worker_id) AS worker FROM raw_comments GROUP BY 1, 2),
-    r AS (SELECT *, CASE status WHEN 'complete' THEN 4 WHEN 'partial' THEN 3 ELSE 1 END AS rank FROM s),
-    o AS (SELECT *, row_number() OVER (PARTITION BY post ORDER BY batch_id) AS rn FROM r)
-"""
-
-
 @query(
-    _STATES
-    + """
-    , a AS (SELECT * FROM o WHERE rn = 1), b AS (SELECT * FROM o WHERE rn = 2)
-    SELECT a.post, a.batch_id, CASE WHEN b.rank > a.rank THEN b.status ELSE a.status END AS status, greatest(a.captured, coalesce(b.captured, 0)) AS captured, CASE WHEN b.rank > a.rank THEN b.worker ELSE a.worker END AS worker
-    FROM a LEFT JOIN b ON a.post = b.post
+    """
+    WITH s AS (SELECT post_shortcode AS post, batch_id, count(*) AS captured, CASE WHEN count(*) >= 10 THEN 'complete' WHEN count(*) >= 3 THEN 'partial' ELSE 'in_progress' END AS status, min(worker_id) AS worker FROM raw_comments WHERE batch_id IS NOT NULL GROUP BY 1, 2),
+    r AS (SELECT *, CASE status WHEN 'complete' THEN 4 WHEN 'partial' THEN 3 ELSE 1 END AS rank FROM s), o AS (SELECT *, row_number() OVER (PARTITION BY post ORDER BY rank DESC, batch_id) AS rn FROM r)
+    SELECT post, min(batch_id) AS batch_id, max(status) FILTER (rn = 1) AS status, max(captured) AS captured, max(worker) FILTER (rn = 1) AS worker FROM o GROUP BY post
     """
 )
 def merge_import_state(spark, root):
-    """A second batch's state of each post merged into the first's: the higher status wins."""
-    from pyspark.sql import Window
-
+    """All batches' states of each post merged in their order: the highest status wins, the first at a tie."""
     n = F.count("*")
     status = F.when(n >= 10, "complete").when(n >= 3, "partial").otherwise("in_progress")
-    s = table(spark, root, "raw_comments").groupBy(F.col("post_shortcode").alias("post"), "batch_id").agg(n.alias("captured"), status.alias("status"), F.min("worker_id").alias("worker"))
-    s = s.withColumn("rn", F.row_number().over(Window.partitionBy("post").orderBy("batch_id"))).where("rn <= 2")
-    first, second = s.where("rn = 1").drop("rn"), s.where("rn = 2").drop("rn")
-    return merge_states(first, second, "post", kept=("batch_id",), highest=("captured",)).select("post", "batch_id", "status", "captured", "worker")
+    s = table(spark, root, "raw_comments").where("batch_id IS NOT NULL").groupBy(F.col("post_shortcode").alias("post"), "batch_id").agg(n.alias("captured"), status.alias("status"), F.min("worker_id").alias("worker"))
+    return fold_states(s, "post", "batch_id", kept=("batch_id",), highest=("captured",)).select("post", "batch_id", "status", "captured", "worker")
 
 
 @query(

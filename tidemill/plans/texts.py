@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.functions import text as T
+from tidemill.functions.fields import fnv1a
 from tidemill.functions.values import short_number
 from tidemill.operators.ranking import top_k
-from tidemill.plans.base import COMMENTS, comments
+from tidemill.plans.base import _NUMBER, _PATTERN, COMMENTS, comments
 from tidemill.plans.catalog import query
 from tidemill.sources.tables import table
 
@@ -122,8 +123,8 @@ def short_text_filter(spark, root):
 
 
 @query(
-    r"""
-    SELECT comment_id, comment_likes, count(*) AS captures, CAST(round(TRY_CAST(nullif(regexp_extract(lower(trim(comment_likes)), '^([0-9]+(?:\.[0-9]+)?)', 1), '') AS DOUBLE)) AS BIGINT) AS likes
+    f"""
+    SELECT comment_id, comment_likes, count(*) AS captures, CAST(round(TRY_CAST(nullif(regexp_extract({_NUMBER}, {_PATTERN}, 1), '') AS DOUBLE) * CASE regexp_extract({_NUMBER}, {_PATTERN}, 2) WHEN 'k' THEN 1000 WHEN 'm' THEN 1000000 WHEN 'b' THEN 1000000000 ELSE 1 END) AS BIGINT) AS likes
     FROM raw_comments GROUP BY ALL
     """
 )
@@ -133,20 +134,49 @@ def parse_short_numbers(spark, root):
     return r.select("comment_id", "comment_likes", "captures", short_number(F.col("comment_likes")).alias("likes"))
 
 
-@query()
+_EMOJI = f", em AS (SELECT post, text, regexp_extract_all(text, '{T.EMOJI_CLUSTER}') AS e, trim(regexp_replace(regexp_replace(text, '{T.EMOJI}|{T.EMOJI_GLUE}', ' ', 'g'), '{_WS}', ' ', 'g')) AS bare FROM c)"
+
+
+@query(
+    COMMENTS
+    + _EMOJI
+    + """, g AS (SELECT post, count(*) FILTER (len(e) > 0) AS with_emoji, count(*) FILTER (len(e) > 0 AND bare = '') AS only_emoji, count(*) FILTER (len(e) > 0 AND bare <> '') AS mixed, count(*) FILTER (len(e) > 1 AND len(list_filter(range(2, len(e) + 1), lambda i: e[i] = e[i - 1])) > 0) AS repeated FROM em GROUP BY post),
+    n AS (SELECT post, emoji, count(*) AS n FROM (SELECT post, unnest(e) AS emoji FROM em) GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY post ORDER BY n DESC, emoji) AS rank FROM n), t AS (SELECT post, list(emoji ORDER BY rank) AS top, list(n ORDER BY rank) AS top_n FROM r WHERE rank <= 5 GROUP BY post)
+    SELECT g.*, t.top, t.top_n FROM g LEFT JOIN t ON g.post = t.post"""
+)
 def emoji_summary_per_post(spark, root):
     """Per post: comments with emoji, of emoji only, with repeats, and the most frequent emoji."""
     c = comments(spark, root).select("post", "text", T.emojis(F.col("text")).alias("e"))
     has, only = F.size("e") > 0, (F.size("e") > 0) & (T.without_emoji(F.col("text")) == "")
     sums = c.groupBy("post").agg(F.count_if(has).alias("with_emoji"), F.count_if(only).alias("only_emoji"), F.count_if(has & ~only).alias("mixed"), F.count_if(T.repeats(F.col("e"))).alias("repeated"))
     n = c.select("post", F.explode("e").alias("emoji")).groupBy("post", "emoji").agg(F.count("*").alias("n"))
-    best = top_k(n, ["post"], [F.desc("n"), F.asc("emoji")], 5).groupBy("post").agg(F.sort_array(F.collect_list(F.struct("rank", "emoji", "n"))).alias("top"))
+    best = top_k(n, ["post"], [F.desc("n"), F.asc("emoji")], 5).groupBy("post").agg(F.sort_array(F.collect_list(F.struct("rank", "emoji", "n"))).alias("k"))
+    best = best.select("post", F.transform("k", lambda x: x["emoji"]).alias("top"), F.transform("k", lambda x: x["n"]).alias("top_n"))
     return sums.join(best, "post", "left")
 
 
-@query()
+@query(COMMENTS + _EMOJI + ", d AS (SELECT list_sort(list_distinct(e)) AS e FROM em WHERE len(list_distinct(e)) > 1), p2 AS (SELECT unnest(flatten(list_transform(range(1, len(e)), lambda i: list_transform(range(i + 1, len(e) + 1), lambda j: {'first': e[i], 'second': e[j]})))) AS x FROM d) SELECT x.first AS first, x.second AS second, count(*) AS comments FROM p2 GROUP BY ALL")
 def emoji_cooccurrence(spark, root):
     """Unordered pairs of different emoji in one comment."""
     e = comments(spark, root).select(F.array_sort(F.array_distinct(T.emojis(F.col("text")))).alias("e")).where("size(e) > 1")
     pairs = F.expr("flatten(transform(e, (x, i) -> transform(slice(e, i + 2, size(e)), y -> struct(x as first, y as second))))")
     return e.select(F.explode(pairs).alias("p")).groupBy("p.first", "p.second").agg(F.count("*").alias("comments"))
+
+
+@query(
+    COMMENTS
+    + TOKENS
+    + """, g AS (SELECT unnest(list_concat(tokens, [tokens[i] || ' ' || tokens[i + 1] for i in range(1, len(tokens))], [tokens[i] || ' ' || tokens[i + 1] || ' ' || tokens[i + 2] for i in range(1, len(tokens) - 1)])) AS phrase FROM k), n AS (SELECT phrase, count(*) AS n FROM g GROUP BY phrase HAVING count(*) >= 5)
+    SELECT phrase, n FROM n ORDER BY n DESC, phrase LIMIT 4000"""
+)
+def vocabulary_phrases(spark, root):
+    """The 4,000 most frequent one- to three-word phrases without stop words (a model's vocabulary)."""
+    g = comments(spark, root).select(T.tokens(F.col("text")).alias("w")).select(F.explode(F.concat("w", T.ngrams(F.col("w"), 2), T.ngrams(F.col("w"), 3))).alias("phrase"))
+    return g.groupBy("phrase").agg(F.count("*").alias("n")).where("n >= 5").orderBy(F.desc("n"), F.asc("phrase")).limit(4000)
+
+
+@query("SELECT comment_id, substr(sha1(comment_id), 1, 16) AS feature_id, format('{:08x}', list_reduce(list_prepend(CAST(2166136261 AS HUGEINT), list_transform(string_split(comment_id, ''), lambda x: CAST(unicode(x) AS HUGEINT))), lambda h, x: (xor(h, x) * 16777619) & 4294967295)) AS hash FROM (SELECT DISTINCT comment_id FROM raw_comments WHERE comment_id IS NOT NULL)")
+def comment_hashes(spark, root):
+    """Short identifiers of comments: the beginning of a digest, and a 32-bit hash."""
+    ids = table(spark, root, "raw_comments").select("comment_id").where("comment_id IS NOT NULL").distinct()
+    return ids.select("comment_id", F.substring(F.sha1("comment_id"), 1, 16).alias("feature_id"), fnv1a(F.col("comment_id")).alias("hash"))
