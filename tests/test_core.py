@@ -136,6 +136,12 @@ def test_vectors(spark):
     by = {r.d: r.cluster for r in got.collect()}
     assert {by[1], by[2]}.isdisjoint({by[3], by[4]})
     assert spherical_kmeans(v.limit(0), "d", k=3)[0].count() == 0
+    from tidemill.operators.vectors import center_terms, cluster_label, strided_seeds
+
+    wide = spark.range(1000).select(F.format_string("%04d", F.pmod(F.col("id") * 7919, F.lit(1000))).alias("d"))
+    assert [r.d for r in strided_seeds(wide, "d", 4)] == ["0000", "0250", "0500", "0750"]
+    assert center_terms([{"b": 0.5, "a": 0.5, "c": 0.00001, "d": 0.9}], 2) == [[("d", 0.9), ("a", 0.5)]]
+    assert cluster_label([], ["x y"], "t1") == "x y" and cluster_label([], [], "t1") == "t1"
 
 
 def test_bundles(spark, tmp_path):

@@ -88,6 +88,6 @@ def resolve_pointers(signals: DataFrame, batched: DataFrame) -> DataFrame:
 
 
 def reduce_signals(resolved: DataFrame, groups: int = 8) -> DataFrame:
-    """Themes by a two-level reduction: counts within groups of batches, then over all."""
+    """Signals by problem and want in a two-level reduction: counts within groups of batches, then over all."""
     part = resolved.groupBy(F.pmod(F.xxhash64("batch"), F.lit(groups)).alias("group"), "problem", "want").agg(F.count("*").alias("n"), F.sum("likes").alias("likes"))
-    return part.groupBy("problem", "want").agg(F.sum("n").alias("n"), F.sum("likes").alias("likes"), F.count("*").alias("groups"))
+    return part.groupBy("problem", "want").agg(F.sum("n").alias("n"), F.sum("likes").alias("likes"))

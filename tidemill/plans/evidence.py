@@ -11,6 +11,7 @@ from tidemill.operators.ranking import top_k
 from tidemill.plans.base import COMMENTS, comments, posts
 from tidemill.plans.catalog import query
 from tidemill.plans.scores import SCORED, scored
+from tidemill.session import cut
 from tidemill.sources.tables import table
 
 
@@ -111,9 +112,76 @@ def comments_on_titled_posts(spark, root):
     return comments(spark, root).join(posts(spark, root).where("title IS NOT NULL").select("post"), "post", "left_semi").agg(F.count("*").alias("comments"), F.count_distinct("post").alias("posts"))
 
 
-@query()
-def map_reduce_signals(spark, root):
-    """Problems and wants by provider over batches, pointers resolved, reduced in two levels."""
+def _cues(cues):
+    return "CASE " + " ".join(f"WHEN contains(lower(text), '{c}') THEN '{c}'" for c in cues) + " END"
+
+
+_SIGNALS = SCORED + f", g0 AS (SELECT comment_id, post, likes, text, {_cues(RuleProvider.PROBLEM)} AS problem, {_cues(RuleProvider.WANT)} AS want FROM h WHERE high), g AS (SELECT *, coalesce(problem, '-') || ' / ' || coalesce(want, '-') AS label FROM g0 WHERE problem IS NOT NULL OR want IS NOT NULL)"
+
+
+def signals(spark, root, provider=None):
+    """(signal_id, comment_id, post, likes, text, problem, want, label): what the provider points at in the telling comments."""
     c = scored(spark, root).where("high").select("comment_id", "post", "likes", "text")
     b = numbered_batches(c, [F.desc("likes"), F.asc("comment_id")])
-    return reduce_signals(resolve_pointers(extract_signals(b, "text", RuleProvider()), b))
+    r = resolve_pointers(extract_signals(b, "text", provider or RuleProvider()), b)
+    label = F.concat_ws(" / ", F.coalesce("problem", F.lit("-")), F.coalesce("want", F.lit("-")))
+    return r.withColumns({"signal_id": F.concat(F.lit("s_"), "comment_id"), "label": label})
+
+
+@query(_SIGNALS + " SELECT problem, want, count(*) AS n, CAST(sum(likes) AS BIGINT) AS likes FROM g GROUP BY ALL")
+def map_reduce_signals(spark, root):
+    """Problems and wants by provider over batches, pointers resolved, reduced in two levels."""
+    return reduce_signals(signals(spark, root))
+
+
+def built_themes(spark, root):
+    from tidemill.operators import themes as H
+
+    s = cut(signals(spark, root).select("signal_id", "comment_id", "likes", "text", "label"))
+    p = H.RuleThemes()
+    return s, H.theme_table(H.merged_themes(cut(H.candidate_themes(s, p)), p), s)
+
+
+_THEMES = _SIGNALS + """
+    , k AS (SELECT label, count(*) AS signals, CAST(sum(likes) AS BIGINT) AS likes FROM g GROUP BY label), gr AS (SELECT label, comment_id, row_number() OVER (PARTITION BY label ORDER BY likes DESC, comment_id) AS r FROM g), gq AS (SELECT label, list(comment_id ORDER BY r) AS quotes FROM gr WHERE r <= 6 GROUP BY label),
+    th AS (SELECT k.*, CASE WHEN signals >= 80 THEN 'high' WHEN signals >= 25 THEN 'medium' ELSE 'low' END AS strength, quotes FROM k JOIN gq ON k.label = gq.label)
+"""
+
+
+@query(_THEMES + " SELECT label, signals, likes, strength, quotes FROM th")
+def themes_from_signals(spark, root):
+    """Themes that a provider makes of groups of signals and then of their candidates, with all signals and six quotes."""
+    return built_themes(spark, root)[1].drop("theme_id")
+
+
+@query(_THEMES + """, an AS (SELECT label, unnest(['problem', 'want', 'proof', 'objection', 'story', 'comparison']) AS angle, string_split(label, ' / ')[1] AS phrase FROM th),
+    ho AS (SELECT an.label, angle, arg_min(comment_id, struct_pack(a := -likes, b := comment_id)) AS source FROM an JOIN g ON an.label = g.label AND contains(lower(text), phrase) GROUP BY ALL)
+    SELECT an.label, an.angle, phrase, source AS source_comment_id, source IS NOT NULL AS verified FROM an LEFT JOIN ho ON an.label = ho.label AND an.angle = ho.angle""")
+def theme_angles(spark, root):
+    """Six angles of each theme with the comment their phrase comes from; phrases that no comment holds are unverified."""
+    from tidemill.operators import themes as H
+
+    s, t = built_themes(spark, root)
+    t = cut(t)
+    texts = t.select("theme_id", "label").join(s, "label").select("theme_id", "comment_id", "text", "likes")
+    found = H.borrowed(H.angles(t, H.RuleThemes()), texts)
+    return found.join(t.select("theme_id", "label"), "theme_id").select("label", "angle", "phrase", "source_comment_id", "verified")
+
+
+@query(_THEMES + ", b AS (SELECT label, signals FROM th ORDER BY signals DESC, label LIMIT 10) SELECT label, unnest(['hook', 'explanation', 'solution', 'social_proof', 'call_to_action']) AS part FROM b")
+def structured_angles(spark, root):
+    """The five parts of an angle for the ten largest themes."""
+    from tidemill.operators import themes as H
+
+    t = cut(built_themes(spark, root)[1].withColumn("theme_id", F.col("label")))
+    return H.structured(t, H.RuleThemes()).select(F.col("theme_id").alias("label"), "part")
+
+
+@query(_THEMES + " SELECT label AS id, label || ': ' || signals || ' after ' || label || ': ' || signals AS text, CASE WHEN signals > 0 THEN 'ok' ELSE 'empty' END AS audit FROM th")
+def packet_interpretations(spark, root):
+    """Themes interpreted in two passes, and audited."""
+    from tidemill.operators import themes as H
+
+    packets = cut(built_themes(spark, root)[1].select(F.col("label").alias("id"), "label", F.col("signals").alias("size")))
+    p = H.RuleThemes()
+    return H.interpretations(packets, p).join(H.audits(packets, p).withColumnRenamed("text", "audit"), "id")

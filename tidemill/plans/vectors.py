@@ -83,3 +83,44 @@ def tfidf_weights(spark, root):
 def spherical_kmeans_topics(spark, root):
     """Every comment's topic by cosine k-means over TF-IDF vectors."""
     return spherical_kmeans(_weights(spark, root), "comment_id", k=12)[0]
+
+
+#: The runs of the topic model: which comments, clusters, vocabulary, least document frequency and its greatest share.
+RUNS = {"all": (None, 24, 2600, 14, 0.35), "high_signal": ("high", 18, 2200, 6, 0.40)}
+
+
+@query()
+def modelled_topics(spark, root):
+    """Each topic of both runs: its size, authors, likes, best terms and the comments and posts that stand for it."""
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+
+    from tidemill.operators.ranking import top_k
+    from tidemill.operators.vectors import center_terms, cluster_label
+    from tidemill.plans.scores import scored
+    from tidemill.session import cut
+
+    h = cut(scored(spark, root).select("comment_id", "post", "author", "likes", "generic", "high", T.tokens(F.col("text")).alias("tokens")))
+    out = []
+    for run, (which, k, vocabulary, least, most) in RUNS.items():
+        docs = h.where(which) if which else h
+        found, centers = spherical_kmeans(cut(tfidf(docs.select("comment_id", "tokens"), "comment_id", "tokens", min_df=least, max_df_share=most, vocabulary=vocabulary)), "comment_id", k)
+        terms = [[t for t, _ in c] for c in center_terms(centers)]
+        named = spark.createDataFrame([(i, t, cluster_label(t, [], f"topic_{i}")) for i, t in enumerate(terms)], "cluster int, terms array<string>, label string")
+        j = cut(found.join(docs.drop("tokens"), "comment_id"))
+        sums = j.groupBy("cluster").agg(F.count("*").alias("comments"), F.count_distinct("post").alias("posts"), F.count_distinct("author").alias("authors"), F.count_if("high").alias("high_signal"), F.count_if("generic").alias("generic"), F.sum("likes").alias("likes"), F.percentile("likes", F.lit(0.5)).alias("median_likes"))
+        listed = lambda df, c: df.groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", c))), lambda x: x[c]).alias(c + "s"))
+        best = listed(top_k(j, ["cluster"], [F.desc("similarity"), F.desc("likes"), F.asc("comment_id")], 8), "comment_id")
+        by_post = j.groupBy("cluster", "post").agg(F.count("*").alias("n"), F.count_if("high").alias("h"))
+        top = listed(top_k(by_post, ["cluster"], [F.desc("n"), F.desc("h"), F.asc("post")], 6), "post").withColumnRenamed("posts", "top_posts")
+        out.append(sums.join(named, "cluster").join(best, "cluster").join(top, "cluster").withColumn("run", F.lit(run)))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query(_SIMILAR + " SELECT count(*) FILTER (sim < 0.1) AS noise, count(*) AS vectors, round(count(*) FILTER (sim < 0.1) / greatest(count(*), 1), 4) AS ratio FROM s")
+def noise_ratio(spark, root):
+    """Vectors too far from their cluster's centre to belong to it."""
+    s = similarities(spark, root)
+    noise = F.count_if(F.col("sim") < 0.1)
+    return s.agg(noise.alias("noise"), F.count("*").alias("vectors"), F.round(noise / F.greatest(F.count("*"), F.lit(1)), 4).alias("ratio"))
