@@ -49,19 +49,21 @@ def _siblings(path: str) -> list[str]:
     return [path, *(f"{stem}.{e}" for e in EXTENSIONS if e != ext)] if ext in EXTENSIONS else [path]
 
 
-def read_bundle(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The entities of a bundle, whatever its layout: a manifest naming files, a queue, or one document."""
-    head = read_small_json(spark, path) if _is_small(spark, path) else {}
-    if head.get("files"):
-        return read_split(spark, path, head)
-    if head.get("type") == "queue" or (isinstance(head.get("queue"), list)):
-        return read_queue(spark, head)
-    return read_single(spark, path)
+_HEAD = "type string, files map<string,string>, queue array<string>"
 
 
-def _is_small(spark: SparkSession, path: str, most: int = 4 << 20) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.getFileStatus(p).getLen() <= most
+def read_bundle(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The entities of a bundle, whatever its layout and size: a manifest naming files, a queue, or one document.
+
+    Which it is, is told by its fields, read by Spark; only a manifest's names of files come to the driver.
+    """
+    doc = spark.read.schema(_HEAD).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    head = doc.select("type", "files", F.col("queue").isNotNull().alias("listed")).first()
+    if head is not None and head.files:
+        return read_split(spark, path, {"files": head.files})
+    if head is not None and (head.type == "queue" or head.listed):
+        return read_queue(spark, path)
+    return read_single(spark, path)
 
 
 def read_split(spark: SparkSession, path: str, manifest: dict) -> dict[str, DataFrame]:
@@ -77,26 +79,78 @@ def read_single(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {e: with_defaults(doc.select(F.explode(e).alias("x")).select("x.*"), e) for e in ENTITIES}
 
 
-def read_queue(spark: SparkSession, queue: dict) -> dict[str, DataFrame]:
-    """A queue of posts to collect: all are queued, in the order given."""
-    rows = [(q.get("shortcode"), q.get("visible_index") or q.get("position") or i, q.get("post_url"), q.get("post_kind"), "queued") for i, q in enumerate(queue.get("queue", []), 1)]
+def read_queue(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """A queue of posts to collect: all are queued, in the order given; posts without shortcode are left out."""
+    doc = spark.read.schema("queue array<struct<shortcode:string,visible_index:int,position:int,post_url:string,post_kind:string>>").option("multiLine", True).option("mode", "FAILFAST").json(path)
+    rows = doc.select(F.posexplode("queue").alias("at", "q")).where("q.shortcode IS NOT NULL")
+    place = F.coalesce(F.nullif("q.visible_index", F.lit(0)), F.nullif("q.position", F.lit(0)), F.col("at") + 1).cast("int")
     out = {e: spark.createDataFrame([], s) for e, s in ENTITIES.items()}
-    out["post_queue"] = spark.createDataFrame(rows, ENTITIES["post_queue"]).where("shortcode IS NOT NULL")
+    out["post_queue"] = rows.select("q.shortcode", place.alias("position"), "q.post_url", "q.post_kind", F.lit("queued").alias("status"))
     return out
 
 
-def write_bundle(entities: dict[str, DataFrame], folder: str, note: str | None = None) -> dict:
-    """A split bundle: a folder of JSON lines for each entity, and a manifest with counts; returns the manifest."""
-    spark = next(iter(entities.values())).sparkSession
-    counts = {}
-    for e, df in entities.items():
-        df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/{e}.ndjson")
-        counts[e] = spark.read.schema(df.schema).json(f"{folder}/{e}.ndjson").count()
-    manifest = {"version": 3, "type": "split_bundle", "note": note, "files": {e: f"{e}.ndjson" for e in entities}, "counts": counts}
-    fs, p = _fs(spark, f"{folder}/manifest.json")
+def queue_of(posts: DataFrame, queue: DataFrame | None = None, key: str = "shortcode") -> DataFrame:
+    """Posts in the order of a queue, those not queued left out; without a queue, in the order of their places."""
+    if queue is None:
+        return posts
+    return posts.drop("position").join(queue.select(key, "position"), key)
+
+
+def capped(df: DataFrame, order: str, most: int | None) -> DataFrame:
+    """The first rows of df in an order, or all (a bound that a user asks for)."""
+    return df if most is None else df.orderBy(order).limit(most)
+
+
+def _write(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
     out = fs.create(p, True)
-    out.write(bytearray(json.dumps(manifest, indent=2).encode() + b"\n"))
+    out.write(bytearray(text.encode()))
     out.close()
+
+
+def write_json(spark: SparkSession, value, path: str) -> str:
+    """A small value as indented JSON with a newline at its end; folders are made."""
+    text = json.dumps(value, indent=2, ensure_ascii=False, default=str) + "\n"
+    _write(spark, path, text)
+    return text
+
+
+def write_parts(df: DataFrame, folder: str, columns: list | None = None, rows_a_file: int = 500_000) -> int:
+    """JSON lines in parts of at most so many rows, of some columns or column expressions; returns the number of rows.
+
+    An empty frame gives a folder without rows.
+    """
+    out = df.select(*columns) if columns else df
+    out.write.mode("overwrite").option("maxRecordsPerFile", rows_a_file).option("ignoreNullFields", "false").json(folder)
+    return df.sparkSession.read.schema(out.schema).json(folder).count()
+
+
+def read_optional(spark: SparkSession, path: str, entity: str) -> DataFrame:
+    """JSON lines that may be missing: then there are no rows."""
+    return read_lines(spark, path, entity)
+
+
+def write_bundle(entities: dict[str, DataFrame], folder: str, note: str | None = None, mode: str = "bundle", checkpoint: dict | None = None) -> dict:
+    """Writes a bundle and returns its manifest.
+
+    mode "bundle": a folder of JSON lines for each entity, the addresses of posts, the checkpoint and a manifest
+    with counts; "queue": the posts to collect alone, as queue.json in parts; "single": as "bundle", each entity
+    in one file.
+    """
+    if mode not in ("bundle", "queue", "single"):
+        raise ValueError("mode is bundle, queue or single")
+    spark = next(iter(entities.values())).sparkSession
+    if mode == "queue":
+        entities = {"post_queue": entities["post_queue"]}
+    elif "posts" in entities and "post_url" in entities["posts"].columns:
+        entities = entities | {"post_urls": entities["posts"].select("post_url").where("post_url IS NOT NULL")}
+    counts = {e: write_parts(df.coalesce(1) if mode == "single" else df, f"{folder}/{e}.ndjson", rows_a_file=0 if mode == "single" else 500_000) for e, df in entities.items()}
+    files = {e: f"{e}.ndjson" for e in entities}
+    if checkpoint is not None:
+        write_json(spark, checkpoint, f"{folder}/checkpoint.json")
+        files["checkpoint"] = "checkpoint.json"
+    manifest = {"version": 3, "type": "split_bundle", "note": note, "files": files, "counts": counts}
+    write_json(spark, manifest, f"{folder}/manifest.json")
     return manifest
 
 
@@ -122,3 +176,20 @@ def write_report(sections: list[tuple[str, DataFrame, int]], path: str) -> str:
         f.write(bytearray(text.encode()))
         f.close()
     return text
+
+
+def save_checkpoint(spark: SparkSession, path: str, value: dict, now: str) -> dict:
+    """A checkpoint written with the time it was written at, which the caller gives."""
+    value = value | {"updated_at": now}
+    write_json(spark, value, path)
+    return value
+
+
+def load_checkpoint(spark: SparkSession, path: str) -> dict | None:
+    """A checkpoint, or None if there is none."""
+    return read_small_json(spark, path) if exists(spark, path) else None
+
+
+def append_events(events: DataFrame, folder: str) -> None:
+    """Events added to a log; the log is never rewritten. Columns as of the entity `events`."""
+    events.write.mode("append").option("ignoreNullFields", "false").json(folder)
