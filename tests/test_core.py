@@ -178,7 +178,7 @@ PAGE = """<meta property="og:title" content="A walk"><a href="/p/AAA/">x</a><a h
 
 def test_pages(spark):
     p = parse_page(PAGE)
-    assert p["caption"] == "A walk" and [(c["author"], c["text"], c["depth"]) for c in p["comments"]] == [("ann", "what a dog", 0), ("bob", "indeed so", 1)]
+    assert p["caption"] == "A walk" and [(c["author"], c["text"], c["depth"]) for c in p["comments"]] == [("ann", "what a dog", 0), ("bob", "indeed so", 1)] and [c["parent"] for c in p["comments"]] == [None, 0]
     df = spark.createDataFrame([(1, PAGE), (2, None), (3, "")], "id int, html string")
     assert [(r.shortcode, r.kind, r.position) for r in linked_posts(df, "id", "html").orderBy("position").collect()] == [("AAA", "p", 1), ("BBB", "reel", 2)]
     got = df.select("id", page_record("html").alias("r")).orderBy("id").collect()

@@ -23,5 +23,5 @@ def query(sql: str | None = None):
     return add
 
 
-for _module in ("summaries", "texts", "scores", "authors", "timeline", "collector", "vectors", "evidence", "features", "states"):
+for _module in ("summaries", "texts", "scores", "authors", "timeline", "collector", "vectors", "evidence", "features", "states", "reports"):
     importlib.import_module(f"tidemill.plans.{_module}")

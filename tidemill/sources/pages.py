@@ -56,15 +56,24 @@ class _Reader(HTMLParser):
             self.items[-1]["text"].append(" ".join(data.split()))
 
 
-_RECORD = T.StructType([T.StructField("caption", T.StringType()), T.StructField("description", T.StringType()), T.StructField("comments", T.ArrayType(T.StructType([T.StructField("author", T.StringType()), T.StructField("text", T.StringType()), T.StructField("depth", T.IntegerType())])))])
+_RECORD = T.StructType([T.StructField("caption", T.StringType()), T.StructField("description", T.StringType()), T.StructField("comments", T.ArrayType(T.StructType([T.StructField("author", T.StringType()), T.StructField("text", T.StringType()), T.StructField("depth", T.IntegerType()), T.StructField("parent", T.IntegerType())])))])
 
 
 def parse_page(text: str | None) -> dict:
-    """Caption, description and comments of one page; what a page lacks is null or empty."""
+    """Caption, description and comments of one page, replies with their parents; what a page lacks is null or empty."""
     r = _Reader()
     r.feed(text or "")
     rows = [{"author": i["author"], "text": max((t for t in i["text"] if t.lower() != i["author"]), key=len, default=""), "depth": i["depth"]} for i in r.items if i["author"]]
-    return {"caption": r.meta.get("og:title"), "description": r.meta.get("og:description"), "comments": [x for x in rows if x["text"]]}
+    return {"caption": r.meta.get("og:title"), "description": r.meta.get("og:description"), "comments": with_parents([x for x in rows if x["text"]])}
+
+
+def with_parents(rows: list[dict]) -> list[dict]:
+    """Comments in a page's order with the place (from 0) of the last top-level one above each reply; null without one."""
+    top = None
+    for k, x in enumerate(rows):
+        x["parent"] = top if x["depth"] else None
+        top = top if x["depth"] else k
+    return rows
 
 
 @F.pandas_udf(_RECORD)
