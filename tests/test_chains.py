@@ -21,8 +21,9 @@ def test_lookup_with_hot_and_null_keys(spark):
     left = spark.createDataFrame([(1, i) for i in range(500)] + [(k, -k) for k in range(2, 60)] + [(None, 7), (99, 8)], "k int, x int")
     right = spark.createDataFrame([(k, f"v{k}") for k in range(60)], "k int, v string")
     for how in ("inner", "left"):
-        got = sorted(map(str, lookup(left, right, ["k"], how, part=0.1).select("k", "x", "v").collect()))
-        assert got == sorted(map(str, left.join(right, ["k"], how).select("k", "x", "v").collect()))
+        for sent in (0, 1000):
+            got = sorted(map(str, lookup(left, right, ["k"], how, part=0.1, sent=sent).select("k", "x", "v").collect()))
+            assert got == sorted(map(str, left.join(right, ["k"], how).select("k", "x", "v").collect()))
     assert lookup(left.limit(0), right, ["k"]).count() == 0
     with pytest.raises(ValueError):
         lookup(left, right, ["k"], "full")
