@@ -84,6 +84,15 @@ def test_ranking_and_intervals(spark):
     df = spark.createDataFrame([("g", "b"), ("g", "a"), ("g", "a"), ("h", "c")], "g string, v string")
     assert sorted(map(tuple, top_values(df, ["g"], "v", 1).collect())) == [("g", "a", 2, 1), ("h", "c", 1, 1)]
     assert [r.v for r in top_values(df, [], "v", 2).orderBy("rank").collect()] == ["a", "b"]
+    from tidemill.operators.ranking import grouped_quantiles
+
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    values = {"a": r.uniform(-1, 1, 500), "b": np.round(r.uniform(0, 0.01, 77), 4), "c": np.array([0.5]), "d": np.array([1.0, -1.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in values.items() for v in vs] + [("a", None), ("e", None)], "k string, x double")
+    got = {(x.k, x.p): x.q for x in grouped_quantiles(df, "k", "x", (0.25, 0.5, 0.9), -1.0, 1.0, bins=64).collect()}
+    assert set(got) == {(g, p) for g in "abcd" for p in (0.25, 0.5, 0.9)} and all(abs(q - np.quantile(values[g], p)) < 1e-9 for (g, p), q in got.items())
     day = 86400
     left = spark.createDataFrame([(1, 0), (2, 10 * day), (3, None)], "k int, a bigint")
     right = spark.createDataFrame([("x", 7 * day), ("y", 3 * day), ("z", 17 * day + 1)], "e string, b bigint")

@@ -126,9 +126,9 @@ FORMATTED = f"""
 """
 
 
-def formats(spark, root, rules=FORMATS):
+def formats(spark, root, rules=FORMATS, said=None):
     """The format of every post: eight for a term in its caption, one for each comment with one."""
-    c = comments(spark, root).groupBy("post").agg(*[F.count_if(T.has_any(F.col("text"), v)).alias(f"c_{k}") for k, v in rules.items()])
+    c = (comments(spark, root) if said is None else said).groupBy("post").agg(*[F.count_if(T.has_any(F.col("text"), v)).alias(f"c_{k}") for k, v in rules.items()])
     j = posts(spark, root).join(c, "post", "left")
     hit = {k: F.when(T.has_any(F.col("title"), v), 8).otherwise(0) + F.coalesce(f"c_{k}", F.lit(0)) for k, v in rules.items()}
     j = j.select("post", *[x.cast("bigint").alias(f"s_{k}") for k, x in hit.items()])

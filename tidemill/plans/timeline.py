@@ -94,7 +94,7 @@ _BASELINE = """
 """
 
 
-def baselines(spark, root, posts_with=None, sums=()):
+def baselines(spark, root, posts_with=None, sums=(), said=None):
     """Each post's baseline: posts of its format within 45 days if there are three, else any within 21.
 
     The window's posts are summed by range frames over seconds, and the post's own share taken off.
@@ -102,7 +102,7 @@ def baselines(spark, root, posts_with=None, sums=()):
     """
     from pyspark.sql import Window
 
-    g = dated(spark, root).join(formats(spark, root).select("post", "format"), "post").select("post", "posted_s", "like_count", "captured_comments", "format")
+    g = dated(spark, root).join(formats(spark, root, said=said).select("post", "format"), "post").select("post", "posted_s", "like_count", "captured_comments", "format")
     if posts_with is not None:
         g = g.join(posts_with, "post", "left").na.fill(0, list(sums))
 
@@ -163,9 +163,9 @@ _TAGS = f"""
 """
 
 
-def tags(spark, root):
+def tags(spark, root, said=None):
     """(post, kind, value): the distinct hashtags, mentions, entities and places of a post's caption and comments."""
-    said = posts(spark, root).select("post", F.coalesce("title", F.lit("")).alias("text")).unionByName(comments(spark, root).select("post", "text"))
+    said = posts(spark, root).select("post", F.coalesce("title", F.lit("")).alias("text")).unionByName((comments(spark, root) if said is None else said).select("post", "text"))
     t = F.col("text")
     kinds = {"hashtag": T.hashtags(t), "mention": T.mentions(t), "entity": labels_of(t, ENTITIES), "place": labels_of(t, PLACES)}
     named = lambda k: lambda x: F.struct(F.lit(k).alias("kind"), x.alias("value"))
@@ -227,8 +227,8 @@ def term_counts(c):
 )
 def post_timeline(spark, root):
     """Every post with what its caption and comments name, say most and show most. Hashtags and mentions are in post_tags."""
-    c = comments(spark, root)
-    t = tags(spark, root)
+    c = cut(comments(spark, root).select("post", "text"))  # read four times below
+    t = tags(spark, root, c)
     few = F.array_sort(F.collect_set(F.when(F.col("kind").isin("entity", "place"), F.struct("kind", "value"))))  # at most the labels
     held = t.groupBy("post").agg(F.count_if(F.col("kind") == "hashtag").alias("hashtags"), F.count_if(F.col("kind") == "mention").alias("mentions"), few.alias("few"))
     of = lambda k: F.transform(F.filter("few", lambda x: x["kind"] == k), lambda x: x["value"])
@@ -282,13 +282,13 @@ _LINKS = (
 def links(spark, root, events=EVENTS):
     """(post, event_id, days, score, confidence, reasons): posts within a week of an event, by all their evidence."""
     d = dated(spark, root)
-    c = comments(spark, root)
+    c = cut(comments(spark, root).select("post", "text"))  # read four times below; the store is made up once
     bare = sorted({t.lstrip("#") for e in events for t in e.terms})
-    t = tags(spark, root).where(F.col("kind") != "mention")
+    t = tags(spark, root, c).where(F.col("kind") != "mention")
     # of hashtags only the terms they hold are kept, so a post has at most the configured terms and labels
     hit = F.when(F.col("kind") == "hashtag", F.filter(F.array(*map(F.lit, bare)), lambda x: F.contains(F.col("value"), x))).otherwise(F.array("value"))
     held = t.select("post", "kind", F.explode(hit).alias("value")).distinct().groupBy("post").agg(*[F.collect_list(F.when(F.col("kind") == k, F.col("value"))).alias(n) for k, n in (("hashtag", "hashtags"), ("entity", "found"), ("place", "places"))])
-    near = within_days(d.select("post", "posted_s", "title", "captured_comments", "like_count"), seeds(spark, events), "posted_s", "event_s", 7).join(baselines(spark, root), "post")
+    near = within_days(d.select("post", "posted_s", "title", "captured_comments", "like_count"), seeds(spark, events), "posted_s", "event_s", 7).join(baselines(spark, root, said=c), "post")
     j = near.join(held, "post", "left").join(top_phrases(c), "post", "left").join(top_emoji(c), "post", "left")
     none = F.array().cast("array<string>")
     j = j.withColumns({k: F.coalesce(k, none) for k in ("hashtags", "found", "places", "phrases", "emoji")})

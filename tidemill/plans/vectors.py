@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.functions import text as T
+from tidemill.operators.ranking import grouped_quantiles
 from tidemill.operators.vectors import centroids, dot, spherical_kmeans, tfidf
 from tidemill.plans.base import COMMENTS, comments
 from tidemill.plans.catalog import query
@@ -35,9 +36,9 @@ def centroid_cosine(spark, root):
 @query(_SIMILAR + " SELECT label, round(quantile_cont(sim, 0.25), 4) AS p25, round(quantile_cont(sim, 0.5), 4) AS p50, round(quantile_cont(sim, 0.75), 4) AS p75 FROM s GROUP BY label")
 def similarity_quantiles(spark, root):
     """Quartiles of the similarities within each label, with linear interpolation."""
-    p = F.percentile("sim", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    q = similarities(spark, root).groupBy("label").agg(p.alias("p"))
-    return q.select("label", *[F.round(F.get("p", F.lit(i)), 4).alias(c) for i, c in enumerate(("p25", "p50", "p75"))])
+    q = grouped_quantiles(similarities(spark, root), "label", "sim", (0.25, 0.5, 0.75), -1.0, 1.0)
+    named = lambda p, c: F.round(F.max(F.when(F.col("p") == p, F.col("q"))), 4).alias(c)
+    return q.groupBy("label").agg(named(0.25, "p25"), named(0.5, "p50"), named(0.75, "p75"))
 
 
 @query(
