@@ -89,7 +89,7 @@ def test_stages_resume(spark, tmp_path):
 
 
 def test_bundle_layouts_of_any_size(spark, tmp_path):
-    many = 60_000
+    many = 45_000
     (tmp_path / "queue.json").write_text(json.dumps({"type": "queue", "queue": [{"shortcode": f"s{i:08d}", "post_url": "https://x.example/p/" + "y" * 60} for i in range(many)] + [{"position": 3}]}))
     assert (tmp_path / "queue.json").stat().st_size > 4 << 20
     q = read_bundle(spark, str(tmp_path / "queue.json"))["post_queue"]
