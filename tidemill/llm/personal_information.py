@@ -63,11 +63,17 @@ def _table() -> dict[str, str]:
     return rules()
 
 
+@lru_cache(maxsize=1 << 16)
+def _plain(c: str) -> str:
+    table = _table()
+    return unicodedata.normalize("NFC", "".join(table.get(x, x) for x in unicodedata.normalize("NFD", c)))
+
+
 def aligned(text: str) -> tuple[str, list[int] | None]:
     """The text in plain characters and, unless they are the same, each one's place in the text."""
     if text.isascii():
         return text, None
-    table, out, at = _table(), [], []
+    out, at = [], []
     for i, c in enumerate(text):
         if c < "\x80":
             plain = c
@@ -78,8 +84,7 @@ def aligned(text: str) -> tuple[str, list[int] | None]:
                 continue
             plain = c
         else:
-            d = unicodedata.normalize("NFD", c)
-            plain = unicodedata.normalize("NFC", "".join(table.get(x, x) for x in d))
+            plain = _plain(c)
         for x in plain:
             out.append(x)
             at.append(i)
@@ -116,7 +121,8 @@ _PLACES = [
     regex.compile(rf"(?i)(?<![\w-])(?P<name>(?:(?-i:\p{{Lu}})[\p{{L}}-]*\s)?[\p{{L}}-]{{3,}}?)(?P<type>{_DE_END})\s\d{{1,4}}(?:\s?[a-e](?!\w))?\b"),
     regex.compile(r"(?<![\w-])(?P<type>(?:Am|An der|Im|In der|Auf der|Auf dem|Zum|Zur|Unter den|Beim|An den|Hinter der))\s(?P<name>\p{Lu}[\p{L}-]+(?:\s\p{Lu}[\p{L}-]+)?)\s\d{1,4}(?:\s?[a-e](?!\w))?\b"),
 ]
-_MAY_PLACE = regex.compile(rf"(?i)\d.*?\b(?:(?:street|st|avenue|ave|road|rd|lane|ln|terrace|blvd|boulevard|court|ct|drive|dr|way|row|close|square|place|crescent|parkway|highway)|{_FR_TYPE})\b|(?:\b{_ES_TYPE}\s|{_DE_END}\s\d|\b(?:am|an|im|in|auf|zum|zur|unter|beim|hinter)\s).*?\d")
+#: What every place has besides a digit; a text without it is not searched for places.
+_MAY_PLACE = regex.compile(rf"(?i)\b(?:street|st|avenue|ave|road|rd|lane|ln|terrace|blvd|boulevard|court|ct|drive|dr|way|row|close|square|place|crescent|parkway|highway|{_FR_TYPE})\b|\b{_ES_TYPE}\s|{_DE_END}\s\d|\b(?:am|an der|im|in der|auf der|auf dem|zum|zur|unter den|beim|an den|hinter der)\s\p{{L}}")
 _PERSON = regex.compile(r"(?<![\p{L}\p{M}\p{N}@#_.'’-])(?P<a>\p{L}[\p{L}\p{M}'’]+)\s(?:\p{L}\.?\s)?(?P<b>\p{L}[\p{L}\p{M}'’]+(?:-\p{L}[\p{L}\p{M}]+)?)(?![\p{L}\p{M}\p{N}@_])")
 _CAPITALS = regex.compile(r"(?<![\p{L}\p{M}\p{N}@#_.'’-])(?P<a>\p{Lu}[\p{L}\p{M}'’]+)\s(?:\p{L}\.?\s)?(?P<b>\p{Lu}[\p{L}\p{M}'’]+(?:-\p{L}[\p{L}\p{M}]+)?)(?![\p{L}\p{M}\p{N}@_])")
 _NAME = regex.compile(r"\p{L}[\p{L}\p{M}'’]*(?:-\p{L}[\p{L}\p{M}]+)?")
