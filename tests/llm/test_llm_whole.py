@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tidemill.llm import languages, packing, subjects, term_counts
+from tidemill.llm import languages, packing, personal_information, subjects, term_counts, uniform_text
 from tidemill.llm.leakage import leaking_documents, leaks
 
 
@@ -108,3 +109,30 @@ def test_utilisation(spark):
     kinds = spark.createDataFrame([("k", 10)], "kind string, size bigint")
     out = packing.utilisation(packing.fill(items, kinds, "id", "n", "kind", "size"), kinds, "kind", "size").collect()
     assert [tuple(x) for x in out] == [("k", 5, 40, 0.8)]
+
+
+def test_empty_tables_and_long_texts(spark):
+    docs = spark.createDataFrame([(1, "Café au lait " * 20_000, 1), (2, None, 1), (3, "", 1), (4, "Ｃafé au lait " * 20_000, 1)], "doc_id bigint, text string, h int")
+    items = spark.createDataFrame([(1, "au lait café " * 6)], "item_id bigint, text string")
+    assert leaking_documents(docs, items.limit(0), "doc_id", "item_id").count() == 0
+    assert sorted(map(tuple, leaking_documents(docs, items, "doc_id", "item_id").collect())) == [(1, 1), (4, 1)]
+    assert [tuple(r) for r in uniform_text.look_alike_pairs(docs, "doc_id").collect()] == [(1, 4)]
+    samples = spark.createDataFrame([("the judge upheld the clause", "law"), ("the team won the race", "sport")], "text string, subject string")
+    model = subjects.fit(samples, docs.limit(0), ["law", "sport"])
+    assert subjects.subject_shares(docs, model, "doc_id").where("share > 1").count() == 0
+    model = subjects.fit(samples, docs, ["law", "sport"])
+    assert {r.doc_id for r in subjects.subject_shares(docs, model, "doc_id").collect()} <= {1, 4}
+    profiles = languages.fit(spark.createDataFrame([("the dog is at home", "en"), ("der hund ist zu hause", "de")], "text string, lang string"), docs.limit(0).selectExpr("text", "'en' as lang"))
+    assert languages.language_segments(docs, profiles, "doc_id").where("seg_no > 3").count() == 0
+    for bad in (samples.limit(0),):
+        with pytest.raises(ValueError):
+            subjects.fit(bad, docs, ["law"])
+
+
+def test_names_without_capitals_in_any_form(spark):
+    given = spark.createDataFrame([("Marlo",)], "given_name string")
+    rows = [(i, f"Ask for Marlo Thistlewood at the desk number {'abcdefgh'[i]}.") for i in range(8)]
+    rows += [(10, "ask for marlo thistlewood now"), (11, "ask for mаrlo thistlewood now"), (12, "ask for ｍarlo thistlewood now"), (13, "ask for mar​lo thistlewood now"), (14, "marlo went home, thistlewood too")]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    got = {(r.id, r.start_at) for r in personal_information.find_personal(df, given, "id").where("kind = 'person'").collect()}
+    assert got == {(i, 9) for i in (*range(8), 10, 11, 12, 13)}
